@@ -45,7 +45,7 @@ def field_saturation(index: LexicalIndex, field: str, tf: Column) -> Column:
 
 def edit_distance(term: Column, text: str, max_edits: int) -> Column:
     """Edits between a column and a text, a swap of neighbours counting as one;
-    null beyond ``max_edits``."""
+    some larger number beyond ``max_edits``."""
 
     def swaps(word: str, start: int = 0) -> dict[str, int]:
         return {
@@ -54,18 +54,18 @@ def edit_distance(term: Column, text: str, max_edits: int) -> Column:
             if word[i] != word[i + 1]
         }
 
-    def plain(word: str, limit: int, extra: int) -> Column:
-        edits = F.levenshtein(term, F.lit(word), limit)
-        return F.when(edits >= 0, edits + extra)
+    def plain(word: str, limit: int) -> Column:
+        # The function gives -1 beyond its limit; the remainder makes that 99.
+        return F.pmod(F.levenshtein(term, F.lit(word), limit), F.lit(100))
 
-    options = [plain(text, max_edits, 0), F.lit(None).cast("int")]
+    options = [plain(text, max_edits), F.lit(99)]
     if max_edits >= 1:
         once = swaps(text)
-        options += [plain(word, max_edits - 1, 1) for word in once]
+        options += [plain(word, max_edits - 1) + 1 for word in once]
         if max_edits >= 2:
             twice = {w for word, after in once.items() for w in swaps(word, after)}
             if twice:
-                options.append(F.when(term.isin(*sorted(twice)), F.lit(2)))
+                options.append(F.when(term.isin(*sorted(twice)), 2).otherwise(99))
     return F.least(*options)
 
 
@@ -289,13 +289,15 @@ class Matcher:
         text, field = clause.text.lower(), clause.field
         if field not in self.index.fields:
             return self._nothing()
+        # An edited term must keep at least one character of the shorter side.
         shorter = F.least(F.length("term"), F.lit(len(text)))
+        allowed = F.least(F.lit(clause.max_edits), F.greatest(shorter - 1, F.lit(0)))
+        edits = edit_distance(F.col("term"), text, clause.max_edits)
         near = (
             self.index.terms.filter(F.col("field") == field)
             .filter(F.abs(F.length("term") - len(text)) <= clause.max_edits)
-            .withColumn("edits", edit_distance(F.col("term"), text, clause.max_edits))
-            .filter((F.col("edits") == 0) | (F.col("edits") < shorter))
-            .select("field", "term_bucket", "term", "df", (1 - F.col("edits") / shorter).alias("likeness"))
+            .filter(edits <= allowed)
+            .select("field", "term_bucket", "term", "df", (1 - edits / shorter).alias("likeness"))
         )
         if clause.max_expansions is not None:
             near = near.orderBy(F.desc("likeness"), "term").limit(clause.max_expansions)

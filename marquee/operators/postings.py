@@ -19,8 +19,8 @@ STORED_FIELDS = (
     "director", "genre", "plot", "movie_id", "movie_url",
 )
 
-# One folder of the document table holds this many consecutive ids.
-DOC_BUCKET_BITS = 20
+# One folder of the document table holds 2 to this power of consecutive ids.
+DOC_BUCKET_BITS = 18
 
 
 def doc_bucket(doc_id: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.scoring import SCORE_DECIMALS
 from marquee.functions.urls import TITLE_BASE, with_prefix
-from marquee.operators.postings import STORED_FIELDS, doc_bucket
+from marquee.operators.postings import DOC_BUCKET_BITS, STORED_FIELDS, doc_bucket
 
 HIT_FIELDS = ("score", *STORED_FIELDS)
 _DENSE_TEXT = ("score", "year", "rating", "votes", "runtime")
@@ -47,6 +47,17 @@ def fetch(hits: DataFrame, stored: DataFrame) -> DataFrame:
     return keyed.join(stored, ["doc_bucket", "doc_id"]).drop("doc_bucket")
 
 
+def fetch_known(hits: DataFrame, stored: DataFrame) -> DataFrame:
+    """``fetch`` for one short hit list. The list is run first; its ids then go
+    into the scan as constants, which skips all row groups without a hit."""
+    known = hits.select("rank", "doc_id", "score").collect()
+    local = hits.sparkSession.createDataFrame(known, "rank int, doc_id long, score double")
+    ids = [r["doc_id"] for r in known]
+    buckets = {i >> DOC_BUCKET_BITS for i in ids}
+    rows = stored.filter(F.col("doc_bucket").isin(*buckets) & F.col("doc_id").isin(*ids))
+    return fetch(F.broadcast(local), rows)
+
+
 def hit_records(hits: DataFrame, extra: tuple[str, ...] = ("rank",), stringify: bool = False) -> DataFrame:
     """The thirteen hit columns; ``stringify`` turns the numbers into text."""
     columns = [

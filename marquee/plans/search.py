@@ -7,12 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.functions.scoring import SCORE_DECIMALS
 from marquee.functions.vectors import Encoder, HashedEncoder, embed
 from marquee.operators.batch import batch_top_k
 from marquee.operators.clauses import Clause, Range, Term
 from marquee.operators.dense import inner_product_top_k
 from marquee.operators.matching import match
-from marquee.operators.topk import fetch, hit_records, top_k
+from marquee.operators.topk import fetch, fetch_known, hit_records, top_k
 from marquee.sources.catalog import read_catalog
 from marquee.sources.index_tables import LexicalIndex, open_index
 from marquee.sources.vectors import read_vectors
@@ -22,12 +23,20 @@ DENSE_TYPE = "bert"
 # Fixed value: results shown when no number is asked for.
 DEFAULT_K = 5
 
+# Hit lists up to this length are looked up by constant ids.
+MAX_KNOWN_HITS = 1000
+
+
+def lexical_hits(index: LexicalIndex, clause: Clause, k: int = DEFAULT_K, decimals: int = SCORE_DECIMALS) -> DataFrame:
+    """Ranked hits of a clause with their stored fields."""
+    hits = top_k(match(index, clause), k, decimals)
+    return fetch_known(hits, index.stored) if k <= MAX_KNOWN_HITS else fetch(hits, index.stored)
+
 
 def lexical_search(index: LexicalIndex, query: str | Clause, k: int = DEFAULT_K) -> DataFrame:
     """The k best records for a clause; plain text means any of its words."""
     clause = Term(query) if isinstance(query, str) else query
-    hits = fetch(top_k(match(index, clause), k), index.stored)
-    return hit_records(hits).orderBy("rank")
+    return hit_records(lexical_hits(index, clause, k)).orderBy("rank")
 
 
 def lexical_batch_search(index: LexicalIndex, queries: DataFrame, k: int = DEFAULT_K) -> DataFrame:

@@ -19,6 +19,8 @@ from marquee.sources.storage import write_sorted
 
 DOCS_PER_TERM_BUCKET = 500_000
 MAX_TERM_BUCKETS = 4096
+# Rough shuffled size of a posting, to size its files when there are few.
+BYTES_PER_TOKEN = 8
 
 
 @dataclass(frozen=True)
@@ -48,18 +50,23 @@ def write_index(analyzed: DataFrame, path: str) -> None:
     executor costs one stage and not the whole chain.
     """
     docs = write_sorted(analyzed, f"{path}/docs", ["doc_bucket"], ["doc_id"])
-    buckets = min(MAX_TERM_BUCKETS, 1 + docs.count() // DOCS_PER_TERM_BUCKET)
+    spark = docs.sparkSession
+    stats = P.field_stats(docs).collect()
+    n_docs = max((r["n_docs"] for r in stats), default=0)
+    n_tokens = sum(int(r["n_docs"] * r["avg_len"]) for r in stats)
+    buckets = min(MAX_TERM_BUCKETS, 1 + n_docs // DOCS_PER_TERM_BUCKET)
     bucket = P.term_bucket(F.col("term"), buckets)
     folders = ["field", "term_bucket"]
     written = write_sorted(
         P.postings(docs).withColumn("term_bucket", bucket),
-        f"{path}/postings", folders, ["term", "doc_id"],
+        f"{path}/postings", folders, ["term", "doc_id"], n_tokens * BYTES_PER_TOKEN,
     )
     write_sorted(
         P.term_stats(written).withColumn("term_bucket", bucket), f"{path}/terms", folders, ["term"]
     )
-    stats = P.field_stats(docs).withColumn("buckets", F.lit(buckets))
-    stats.coalesce(1).write.mode("overwrite").parquet(f"{path}/fields")
+    rows = [(r["field"], r["n_docs"], r["avg_len"], buckets) for r in stats]
+    fields = spark.createDataFrame(rows, "field string, n_docs long, avg_len double, buckets int")
+    fields.coalesce(1).write.mode("overwrite").parquet(f"{path}/fields")
 
 
 def open_index(spark: SparkSession, path: str, **settings) -> LexicalIndex:

@@ -334,6 +334,7 @@ ORACLES: dict[str, str] = {
     "bm25_plus_range": hits(_PLUS_RANGE, 5),
     "top_rated": hits(ones("rating between 8 and 10"), 5),
     "batch_queries_topk": _BATCH,
+    "batch_queries_pruned_topk": _BATCH,
     "result_card": f"""with {POSTS} select rank, 'https://imdb.com/title/' || movie_id as title_url,
         movie_url as poster_url, name, score, director, year, rating
         from {ranked(_TOP, 10)} join clean using (doc_id)""",

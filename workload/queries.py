@@ -44,8 +44,9 @@ from marquee.operators.dense import inner_product_top_k, masked_mean_pool
 from marquee.operators.matching import match
 from marquee.operators.snippet import snippet
 from marquee.operators.topk import fetch, hit_records, result_cards, top_k
-from marquee.plans.search import dense_batch_search, lexical_search, top_rated
+from marquee.plans.search import lexical_hits, lexical_search, top_rated
 from marquee.sources.hits_json import hits_from_json, hits_to_json
+from marquee.sources.storage import spread
 from workload.catalog import ENCODER, dense_tables, lexical_index, raw_catalog, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -210,7 +211,7 @@ def q_bm25_byte4_topk(spark, sf_dir):
 
 def q_bm25_plus_range(spark, sf_dir):
     index = lexical_index(spark, sf_dir)
-    return hit_records(fetch(top_k(match(index, BM25_RANGE), 5, DECIMALS), index.stored))
+    return hit_records(lexical_hits(index, BM25_RANGE, 5, DECIMALS))
 
 
 def q_top_rated(spark, sf_dir):
@@ -227,14 +228,21 @@ def q_batch_queries_topk(spark, sf_dir):
     ).select("qid", "rank", "doc_id", "score")
 
 
+def q_batch_queries_pruned_topk(spark, sf_dir):
+    """The same by way of score bounds, as for a large corpus."""
+    return batch_top_k(
+        lexical_index(spark, sf_dir), _batch_queries(spark, sf_dir), 5, prune=True, decimals=DECIMALS
+    ).select("qid", "rank", "doc_id", "score")
+
+
 def q_result_card(spark, sf_dir):
     index = lexical_index(spark, sf_dir)
-    return result_cards(fetch(top_k(match(index, BM25_TOP), 10, DECIMALS), index.stored))
+    return result_cards(lexical_hits(index, BM25_TOP, 10, DECIMALS))
 
 
 def q_hits_json_roundtrip(spark, sf_dir):
     index = lexical_index(spark, sf_dir)
-    hits = fetch(top_k(match(index, BM25_TOP), 10, DECIMALS), index.stored)
+    hits = lexical_hits(index, BM25_TOP, 10, DECIMALS)
     return hits_from_json(hits_to_json(hits))
 
 
@@ -243,7 +251,8 @@ def q_hits_json_roundtrip(spark, sf_dir):
 
 def q_pad_truncate_mask(spark, sf_dir):
     tokens = tokenize(F.col("text"))
-    rows = table(spark, sf_dir, "documents").select("doc_id", tokens.alias("tokens"))
+    rows = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = rows.select("doc_id", tokens.alias("tokens"))
     return rows.select(
         "doc_id",
         F.array_join(pad_or_truncate(F.col("tokens"), 512, "<pad>"), " ").alias("tokens"),
@@ -331,7 +340,7 @@ def q_url_segment(spark, sf_dir):
 
 
 def _first_links(spark, sf_dir) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
     link = extract_attribute(F.col("html"), "a", "href", None, "href")
     return pages.select("page_id", with_prefix(PAGE_BASE, link).alias("link"))
 
