@@ -44,28 +44,35 @@ def field_saturation(index: LexicalIndex, field: str, tf: Column) -> Column:
 
 
 def edit_distance(term: Column, text: str, max_edits: int) -> Column:
-    """Edits between a column and a text, a swap of neighbours counting as one;
-    some larger number beyond ``max_edits``."""
+    """Edits (at most 2 are told apart) between a column and a text, a swap of
+    two neighbours counting as one edit and no place being edited twice; some
+    larger number beyond ``max_edits``."""
 
-    def swaps(word: str, start: int = 0) -> dict[str, int]:
-        return {
-            word[:i] + word[i + 1] + word[i] + word[i + 2 :]: i + 2
-            for i in range(start, len(word) - 1)
-            if word[i] != word[i + 1]
-        }
-
-    def plain(word: str, limit: int) -> Column:
+    def edits(value: Column, word: str, limit: int) -> Column:
         # The function gives -1 beyond its limit; the remainder makes that 99.
-        return F.pmod(F.levenshtein(term, F.lit(word), limit), F.lit(100))
-
-    options = [plain(text, max_edits), F.lit(99)]
-    if max_edits >= 1:
-        once = swaps(text)
-        options += [plain(word, max_edits - 1) + 1 for word in once]
-        if max_edits >= 2:
-            twice = {w for word, after in once.items() for w in swaps(word, after)}
-            if twice:
-                options.append(F.when(term.isin(*sorted(twice)), 2).otherwise(99))
+        return F.pmod(F.levenshtein(value, F.lit(word), limit), F.lit(100))
+
+    options = [edits(term, text, max_edits), F.lit(99)]
+    places = [i for i in range(len(text) - 1) if text[i] != text[i + 1]] if max_edits else []
+    for i in places:
+        before, swapped, after = text[:i], text[i + 1] + text[i], text[i + 2 :]
+        options.append(F.when(term == before + swapped + after, 1).otherwise(99))
+        if max_edits < 2:
+            continue
+        # One more edit is either all behind the swapped pair or all before it.
+        behind = F.substring(term, i + 3, 1 << 20)
+        ahead = F.substring(term, F.lit(1), F.length(term) - (len(after) + 2))
+        options += [
+            F.when(term.startswith(before + swapped), 1 + edits(behind, after, 1)).otherwise(99),
+            F.when(term.endswith(swapped + after), 1 + edits(ahead, before, 1)).otherwise(99),
+        ]
+        twice = [
+            before + swapped + text[i + 2 : j] + text[j + 1] + text[j] + text[j + 2 :]
+            for j in places
+            if j > i + 1
+        ]
+        if twice:
+            options.append(F.when(term.isin(*twice), 2).otherwise(99))
     return F.least(*options)
 
 

@@ -151,11 +151,22 @@ def boolean(must=(), should=(), must_not=()) -> str:
 
 
 def fuzzy(field: str, text: str, edits: int, limit: int) -> str:
+    """Terms by edit distance, or by one swapped pair at i of the text and j of
+    the term with plain edits around it (two swaps: none of the words used
+    here). ASCII terms only: DuckDB counts bytes."""
+    n = len(text)
     return f"""(
-      with near as (
-        select field, term, df, damerau_levenshtein(term, '{text}') as e,
-          least(length(term), {len(text)}) as shorter
-        from dfs where field = '{field}' and regexp_full_match(term, '[ -~]*')),
+      with v as (
+        select field, term, df, least(length(term), {n}) as shorter from dfs
+        where field = '{field}' and regexp_full_match(term, '[ -~]*') and abs(length(term) - {n}) <= {edits}),
+      ways as (
+        select term, levenshtein(term, '{text}') as e from v
+        union all
+        select term, 1 + levenshtein(substr('{text}', 1, i - 1), substr(term, 1, j - 1))
+                       + levenshtein(substr('{text}', i + 2), substr(term, j + 2))
+        from v, (select unnest(range(1, {n})) as i), (select unnest(range(1, {n + edits})) as j)
+        where substr(term, j, 2) = reverse(substr('{text}', i, 2))),
+      near as (select field, term, df, shorter, min(e) as e from v join ways using (term) group by all),
       best as (
         select field, term, df, 1 - e / shorter as likeness from near
         where e <= {edits} and (e = 0 or e < shorter) order by 4 desc, 2 limit {limit})
