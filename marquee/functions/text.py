@@ -14,7 +14,8 @@ LETTER_JOINERS = ":·.'‘’․"
 DIGIT_JOINERS = ",;.'‘’․"
 
 # Ideographs and Hiragana are words of their own; every other script forms runs.
-# Quantifiers are possessive so that a very long run cannot exhaust the stack.
+# Quantifiers are possessive so that a very long run cannot exhaust the stack, and
+# a run of underscores is tried from its start only.
 _LETTERS = (
     r"[\p{L}\p{Nl}&&[^\p{IsHan}\p{IsHiragana}]]"
     r"[\p{L}\p{Nl}\p{M}&&[^\p{IsHan}\p{IsHiragana}]]*+"
@@ -22,7 +23,7 @@ _LETTERS = (
 _LETTER_RUN = f"{_LETTERS}(?:[{LETTER_JOINERS}]{_LETTERS})*+"
 _DIGIT_RUN = rf"\p{{Nd}}++(?:[{DIGIT_JOINERS}]\p{{Nd}}++)*+"
 WORD_PATTERN = (
-    f"_*+(?:{_LETTER_RUN}|{_DIGIT_RUN})(?:{_LETTER_RUN}|{_DIGIT_RUN}|_++)*+"
+    f"(?:(?<!_)_++)?+(?:{_LETTER_RUN}|{_DIGIT_RUN})(?:{_LETTER_RUN}|{_DIGIT_RUN}|_++)*+"
     r"|\p{IsHan}|\p{IsHiragana}"
 )
 

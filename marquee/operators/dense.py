@@ -24,6 +24,11 @@ def _matrix(values) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in values])
 
 
+def _products(rows: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Inner products of the streamed rows with a sent block, which may be empty."""
+    return rows @ block.T if len(block) else np.empty((len(rows), 0))
+
+
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best scores, highest first, equal scores by id."""
     places = np.arange(len(scores))
@@ -35,7 +40,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 def _block(df: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
     rows = df.select(key, "embedding").toPandas()
-    return rows[key].to_numpy(), _matrix(rows["embedding"]) if len(rows) else np.empty((0, 0))
+    return rows[key].to_numpy(), (_matrix(rows["embedding"]) if len(rows) else np.empty((0, 0)))
 
 
 class _Best:
@@ -86,7 +91,7 @@ def _scan_with_queries(vectors: DataFrame, qids, queries, k: int, decimals: int)
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = _Best(len(qids), k, decimals)
         for ids, part in _chunks(batches, "doc_id"):
-            best.add(ids, part @ queries.T)
+            best.add(ids, _products(part, queries))
         yield best.rows(qids)
 
     return vectors.select("doc_id", "embedding").mapInPandas(score, _FOUND)
@@ -98,7 +103,7 @@ def _scan_with_vectors(queries: DataFrame, ids, vectors, k: int, decimals: int)
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for qids, part in _chunks(batches, "qid"):
             best = _Best(len(qids), k, decimals)
-            best.add(ids, vectors @ part.T)
+            best.add(ids, _products(part, vectors).T)
             yield best.rows(qids)
 
     return queries.select("qid", "embedding").mapInPandas(score, _FOUND)

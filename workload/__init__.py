@@ -1 +1,9 @@
 """Registered queries over the test tables, and the SQL they are checked against."""
+
+from pyspark import cloudpickle
+
+import marquee
+
+# Lets the Python workers run the library's functions wherever the driver was
+# started from; a deployment would ship the package with ``--py-files`` instead.
+cloudpickle.register_pickle_by_value(marquee)
