@@ -39,7 +39,7 @@ def with_row_positions(
     per run goes through a global window; the rows themselves are numbered run
     by run, at most ``span`` rows each.
     """
-    runs = df.withColumn("_run", F.floor(F.col(order) / F.lit(span)))
+    runs = df.withColumn("_run", F.col(order) - F.pmod(F.col(order), F.lit(span)))
     before = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         runs.groupBy("_run")

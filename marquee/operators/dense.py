@@ -38,8 +38,11 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return places[np.lexsort((ids[places], -scores[places]))][:k]
 
 
-def _block(df: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
-    rows = df.select(key, "embedding").toPandas()
+def _block(df: DataFrame, key: str, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``most`` rows as arrays; more would mean that keys repeat."""
+    rows = df.select(key, "embedding").limit(most + 1).toPandas()
+    if len(rows) > most:
+        raise ValueError(f"{key} must be unique")
     return rows[key].to_numpy(), (_matrix(rows["embedding"]) if len(rows) else np.empty((0, 0)))
 
 
@@ -126,15 +129,16 @@ def inner_product_top_k(
     """
     n_queries = queries.limit(block + 1).count()
     if n_queries <= block:
-        found = _scan_with_queries(vectors, *_block(queries, "qid"), k, decimals)
+        found = _scan_with_queries(vectors, *_block(queries, "qid", block), k, decimals)
     elif vectors.limit(block + 1).count() <= block:
-        found = _scan_with_vectors(queries, *_block(vectors, "doc_id"), k, decimals)
+        found = _scan_with_vectors(queries, *_block(vectors, "doc_id", block), k, decimals)
     else:
         parts = 1 + 2 * queries.count() // block
         part = F.pmod(F.xxhash64("qid"), F.lit(parts))
         found = None
         for i in range(parts):
-            rows = _scan_with_queries(vectors, *_block(queries.filter(part == i), "qid"), k, decimals)
+            sent = _block(queries.filter(part == i), "qid", 4 * block)
+            rows = _scan_with_queries(vectors, *sent, k, decimals)
             found = rows if found is None else found.unionByName(rows)
     return top_k_per_query(found, k, decimals=decimals)
 

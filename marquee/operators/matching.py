@@ -20,6 +20,7 @@ from marquee.functions.text import tokenize
 from marquee.operators import clauses as C
 from marquee.operators.postings import FLOAT_FIELDS, NUMERIC_FIELDS, term_bucket_of
 from marquee.sources.index_tables import LexicalIndex
+from marquee.sources.storage import scratch_path, write_table
 
 # Required clauses are counted in the bits of one long; beyond this many a set
 # is used.
@@ -149,7 +150,10 @@ class Matcher:
         return self.index.docs.select("doc_id", F.lit(0.0).alias("score")).filter(F.lit(False))
 
     def _idf(self, field: str, word: str) -> float:
-        n, df = self.index.fields[field][0], self.doc_freq[field, word]
+        return self._idf_of(field, self.doc_freq[field, word])
+
+    def _idf_of(self, field: str, df: int) -> float:
+        n = self.index.fields[field][0]
         return math.log(1 + (n - df + 0.5) / (df + 0.5))
 
     # -- dispatch ----------------------------------------------------------
@@ -304,23 +308,36 @@ class Matcher:
             self.index.terms.filter(F.col("field") == field)
             .filter(F.abs(F.length("term") - len(text)) <= clause.max_edits)
             .filter(edits <= allowed)
-            .select("field", "term_bucket", "term", "df", (1 - edits / shorter).alias("likeness"))
+            .select("term_bucket", "term", "df", (1 - edits / shorter).alias("likeness"))
         )
-        if clause.max_expansions is not None:
-            near = near.orderBy(F.desc("likeness"), "term").limit(clause.max_expansions)
-        top = near.groupBy("field").agg(F.max("df").alias("top_df"))
-        idf = scoring.idf(F.lit(self.index.fields[field][0]), F.col("top_df"))
-        factors = near.join(top, "field").select(
-            "term_bucket", "term", (F.lit(float(weight)) * F.col("likeness") * idf).alias("factor")
+        if clause.max_expansions is None:
+            return self._fuzzy_all(near, field, weight)
+        terms = near.orderBy(F.desc("likeness"), "term").limit(clause.max_expansions).collect()
+        if not terms:
+            return self._nothing()
+        idf = self._idf_of(field, max(r["df"] for r in terms))
+        factors = F.create_map(
+            *[F.lit(v) for r in terms for v in (r["term"], weight * r["likeness"] * idf)]
         )
-        if clause.max_expansions is not None:
-            factors = F.broadcast(factors)
+        part = field_saturation(self.index, field, F.col("tf"))
+        return (
+            self._lookup(self.index.postings, field, [r["term"] for r in terms])
+            .groupBy("doc_id")
+            .agg(F.sum(F.element_at(factors, F.col("term")) * part).alias("score"))
+        )
+
+    def _fuzzy_all(self, near: DataFrame, field: str, weight: float) -> DataFrame:
+        """All near terms, which may be many. They are written first: that gives
+        the join a side of known size, and keeps Spark from also testing the
+        edit distance on every posting."""
+        near = write_table(near, scratch_path(self.spark, "near-terms"))
+        idf = self._idf_of(field, near.agg(F.max("df")).first()[0] or 0)
         part = field_saturation(self.index, field, F.col("tf"))
         return (
             self.index.postings.filter(F.col("field") == field)
-            .join(factors, ["term_bucket", "term"])
+            .join(near, ["term_bucket", "term"])
             .groupBy("doc_id")
-            .agg(F.sum(F.col("factor") * part).alias("score"))
+            .agg(F.sum(F.lit(weight * idf) * F.col("likeness") * part).alias("score"))
         )
 
     # -- combination -------------------------------------------------------

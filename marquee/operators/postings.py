@@ -58,13 +58,8 @@ def analyze(cleaned: DataFrame, id_column: str = "row_ord") -> DataFrame:
     )
 
 
-def _field_tokens(docs: DataFrame, fields: dict[str, Column]) -> DataFrame:
-    """One row per document and field: (doc_id, field, dl, tokens)."""
-    entries = [
-        F.struct(F.lit(f).alias("field"), F.col(f"len_{f}").alias("dl"), t.alias("tokens"))
-        for f, t in fields.items()
-    ]
-    return docs.select("doc_id", F.inline(F.array(*entries)))
+def _entry(field: str, length: Column, tokens: Column) -> Column:
+    return F.struct(F.lit(field).alias("field"), length.alias("dl"), tokens.alias("tokens"))
 
 
 def text_postings(docs: DataFrame) -> DataFrame:
@@ -73,9 +68,14 @@ def text_postings(docs: DataFrame) -> DataFrame:
     ``docs`` comes in partitioned by ``doc_id``; the grouping keys contain it,
     so the aggregation needs no further shuffle.
     """
-    tokens = _field_tokens(docs, {f: F.col(f"tokens_{f}") for f in TEXT_FIELDS})
+    entries = [_entry(f, F.col(f"len_{f}"), F.col(f"tokens_{f}")) for f in TEXT_FIELDS]
+    # Not a text field: read here and dropped below only so that this side needs
+    # the columns ``body_postings`` needs, and one shuffle of them serves both.
+    year = _entry("year", F.size("tokens_year"), F.col("tokens_year"))
     return (
-        tokens.select("doc_id", "field", "dl", F.posexplode_outer("tokens").alias("pos", "term"))
+        docs.select("doc_id", F.inline(F.array(*entries, year)))
+        .filter(F.col("field") != "year")
+        .select("doc_id", "field", "dl", F.posexplode_outer("tokens").alias("pos", "term"))
         .filter(F.col("term").isNotNull())
         .groupBy("doc_id", "field", "dl", "term")
         .agg(F.array_sort(F.collect_list("pos")).alias("positions"))
@@ -86,8 +86,11 @@ def text_postings(docs: DataFrame) -> DataFrame:
 def body_postings(docs: DataFrame) -> DataFrame:
     """Frequency-only postings for ``all_fields``."""
     body = F.concat(*[F.col(f"tokens_{f}") for f in (*TEXT_FIELDS, "year")])
+    length = F.size("tokens_year")
+    for f in TEXT_FIELDS:
+        length = length + F.col(f"len_{f}")
     return (
-        docs.select("doc_id", F.col(f"len_{BODY}").alias("dl"), F.explode_outer(body).alias("term"))
+        docs.select("doc_id", length.alias("dl"), F.explode_outer(body).alias("term"))
         .filter(F.col("term").isNotNull())
         .groupBy("doc_id", "dl", "term")
         .agg(F.count(F.lit(1)).cast("int").alias("tf"))

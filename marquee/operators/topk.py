@@ -50,9 +50,9 @@ def fetch(hits: DataFrame, stored: DataFrame) -> DataFrame:
 def fetch_known(hits: DataFrame, stored: DataFrame) -> DataFrame:
     """``fetch`` for one short hit list. The list is run first; its ids then go
     into the scan as constants, which skips all row groups without a hit."""
-    known = hits.select("rank", "doc_id", "score").collect()
-    local = hits.sparkSession.createDataFrame(known, "rank int, doc_id long, score double")
-    ids = [r["doc_id"] for r in known]
+    known = hits.select("rank", "doc_id", "score").toArrow()
+    local = hits.sparkSession.createDataFrame(known)
+    ids = known["doc_id"].to_pylist()
     buckets = {i >> DOC_BUCKET_BITS for i in ids}
     rows = stored.filter(F.col("doc_bucket").isin(*buckets) & F.col("doc_id").isin(*ids))
     return fetch(F.broadcast(local), rows)

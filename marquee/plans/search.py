@@ -49,22 +49,31 @@ def top_rated(index: LexicalIndex, k: int = DEFAULT_K) -> DataFrame:
     return lexical_search(index, Range("rating", 8.0, None), k)
 
 
+def _encoded(queries: DataFrame, encoder: Encoder) -> DataFrame:
+    return queries.select("qid", embed(F.col("text"), encoder).alias("embedding"))
+
+
+def _named(catalog: DataFrame) -> DataFrame:
+    return catalog.withColumnRenamed("movie_name", "name")
+
+
 def dense_batch_search(
     vectors: DataFrame, catalog: DataFrame, queries: DataFrame, encoder: Encoder, k: int = DEFAULT_K
 ) -> DataFrame:
     """The k records whose vectors have the highest inner product with each
     query's, for queries (qid, text). Fields are the raw ones, as text."""
-    encoded = queries.select("qid", embed(F.col("text"), encoder).alias("embedding"))
-    hits = inner_product_top_k(vectors, encoded, k)
-    named = catalog.withColumnRenamed("movie_name", "name")
-    return hit_records(fetch(hits, named), ("qid", "rank"), stringify=True)
+    hits = inner_product_top_k(vectors, _encoded(queries, encoder), k)
+    return hit_records(fetch(hits, _named(catalog)), ("qid", "rank"), stringify=True)
 
 
 def dense_search(
     vectors: DataFrame, catalog: DataFrame, query: str, encoder: Encoder, k: int = DEFAULT_K
 ) -> DataFrame:
-    asked = catalog.sparkSession.range(1).select(F.lit(0).cast("long").alias("qid"), F.lit(query).alias("text"))
-    return dense_batch_search(vectors, catalog, asked, encoder, k).drop("qid").orderBy("rank")
+    """The k records for one text."""
+    asked = catalog.sparkSession.range(1).select(F.col("id").alias("qid"), F.lit(query).alias("text"))
+    hits = inner_product_top_k(vectors, _encoded(asked, encoder), k)
+    look_up = fetch_known if k <= MAX_KNOWN_HITS else fetch
+    return hit_records(look_up(hits, _named(catalog)), stringify=True).orderBy("rank")
 
 
 @dataclass(frozen=True)

@@ -22,6 +22,22 @@ MAX_TERM_BUCKETS = 4096
 # Rough shuffled size of a posting, to size its files when there are few.
 BYTES_PER_TOKEN = 8
 
+_STORED_TYPES = {"year": "int", "rating": "float", "votes": "int", "runtime": "int"}
+DOCS_SCHEMA = ", ".join(
+    [
+        "doc_id long",
+        *(f"`{c}` {_STORED_TYPES.get(c, 'string')}" for c in P.STORED_FIELDS),
+        *(f"tokens_{f} array<string>" for f in (*P.TEXT_FIELDS, "year")),
+        *(f"len_{f} int" for f in (*P.TEXT_FIELDS, P.BODY)),
+        "doc_bucket long",
+    ]
+)
+POSTINGS_SCHEMA = (
+    "term string, doc_id long, tf int, dl int, positions array<int>, field string, term_bucket int"
+)
+TERMS_SCHEMA = "term string, df long, max_tf int, min_dl int, field string, term_bucket int"
+FIELDS_SCHEMA = "field string, n_docs long, avg_len double, buckets int"
+
 
 @dataclass(frozen=True)
 class LexicalIndex:
@@ -50,7 +66,6 @@ def write_index(analyzed: DataFrame, path: str) -> None:
     executor costs one stage and not the whole chain.
     """
     docs = write_sorted(analyzed, f"{path}/docs", ["doc_bucket"], ["doc_id"])
-    spark = docs.sparkSession
     stats = P.field_stats(docs).collect()
     n_docs = max((r["n_docs"] for r in stats), default=0)
     n_tokens = sum(int(r["n_docs"] * r["avg_len"]) for r in stats)
@@ -64,18 +79,18 @@ def write_index(analyzed: DataFrame, path: str) -> None:
     write_sorted(
         P.term_stats(written).withColumn("term_bucket", bucket), f"{path}/terms", folders, ["term"]
     )
-    rows = [(r["field"], r["n_docs"], r["avg_len"], buckets) for r in stats]
-    fields = spark.createDataFrame(rows, "field string, n_docs long, avg_len double, buckets int")
+    # Written last: without it the index does not open.
+    fields = P.field_stats(docs).withColumn("buckets", F.lit(buckets))
     fields.coalesce(1).write.mode("overwrite").parquet(f"{path}/fields")
 
 
 def open_index(spark: SparkSession, path: str, **settings) -> LexicalIndex:
     """Read the tables; only the few rows of ``fields`` come to the driver."""
-    stats = spark.read.parquet(f"{path}/fields").collect()
+    stats = spark.read.schema(FIELDS_SCHEMA).parquet(f"{path}/fields").collect()
     return LexicalIndex(
-        docs=spark.read.parquet(f"{path}/docs"),
-        postings=spark.read.parquet(f"{path}/postings"),
-        terms=spark.read.parquet(f"{path}/terms"),
+        docs=spark.read.schema(DOCS_SCHEMA).parquet(f"{path}/docs"),
+        postings=spark.read.schema(POSTINGS_SCHEMA).parquet(f"{path}/postings"),
+        terms=spark.read.schema(TERMS_SCHEMA).parquet(f"{path}/terms"),
         fields={r["field"]: (r["n_docs"], r["avg_len"]) for r in stats},
         buckets=max((r["buckets"] for r in stats), default=1),
         **settings,
