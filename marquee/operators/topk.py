@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from marquee.functions.scoring import SCORE_DECIMALS
 from marquee.functions.urls import TITLE_BASE, with_prefix
 from marquee.operators.postings import DOC_BUCKET_BITS, STORED_FIELDS, doc_bucket
+from marquee.sources.storage import scratch_path, write_table
+
+# More id folders than this are not named one by one in a scan.
+MAX_FOLDERS = 1000
 
 HIT_FIELDS = ("score", *STORED_FIELDS)
 _DENSE_TEXT = ("score", "year", "rating", "votes", "runtime")
@@ -41,9 +45,19 @@ def top_k_per_query(
 
 
 def fetch(hits: DataFrame, stored: DataFrame) -> DataFrame:
-    """Stored fields for hits. The id folder is a join key, so that Spark reads
-    only the folders the hits fall in."""
-    keyed = hits.withColumn("doc_bucket", doc_bucket(F.col("doc_id")))
+    """Stored fields for hits.
+
+    The hits are written first: they are then computed once, their size is known
+    to the join, and the folders of ids they fall in can be named in the scan
+    (unless they are so many that most of the table is read anyway).
+    """
+    spark = hits.sparkSession
+    keyed = write_table(
+        hits.withColumn("doc_bucket", doc_bucket(F.col("doc_id"))), scratch_path(spark, "hits")
+    )
+    folders = keyed.select("doc_bucket").distinct().limit(MAX_FOLDERS + 1).collect()
+    if len(folders) <= MAX_FOLDERS:
+        stored = stored.filter(F.col("doc_bucket").isin(*[r[0] for r in folders]))
     return keyed.join(stored, ["doc_bucket", "doc_id"]).drop("doc_bucket")
 
 
@@ -55,7 +69,7 @@ def fetch_known(hits: DataFrame, stored: DataFrame) -> DataFrame:
     ids = known["doc_id"].to_pylist()
     buckets = {i >> DOC_BUCKET_BITS for i in ids}
     rows = stored.filter(F.col("doc_bucket").isin(*buckets) & F.col("doc_id").isin(*ids))
-    return fetch(F.broadcast(local), rows)
+    return rows.join(F.broadcast(local), "doc_id").drop("doc_bucket")
 
 
 def hit_records(hits: DataFrame, extra: tuple[str, ...] = ("rank",), stringify: bool = False) -> DataFrame:

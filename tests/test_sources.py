@@ -8,7 +8,7 @@ from marquee.functions.markup import extract_attribute, first_attribute
 from marquee.functions.urls import PAGE_BASE, segment_from_end, with_prefix
 from marquee.functions.vectors import HashedEncoder
 from marquee.operators.clauses import Range, Term
-from marquee.operators.topk import HIT_FIELDS, result_cards, top_k, fetch
+from marquee.operators.topk import HIT_FIELDS, fetch, fetch_known, result_cards, top_k
 from marquee.operators.matching import match
 from marquee.plans.build import build
 from marquee.plans.search import SearchSite, dense_batch_search, lexical_batch_search, search
@@ -148,6 +148,18 @@ def test_lookups_prune_folders_and_row_groups(site):
     assert "term" in plan.split("PushedFilters:")[1].split("]")[0]
 
 
+def test_hits_name_their_folders(spark, site):
+    index = site[0].lexical()
+    hits = top_k(match(index, Term("stars", "plot")), 5)
+    for found in (fetch(hits, index.stored), fetch_known(hits, index.stored)):
+        assert [r["name"] for r in found.collect()] == ["Space"]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        filters = [part.split("]")[0] for part in plan.split("PartitionFilters:")[1:]]
+        assert any("doc_bucket" in f and " 0" in f for f in filters), filters
+    nothing = top_k(match(index, Term("absent")), 5)
+    assert fetch(nothing, index.stored).count() == fetch_known(nothing, index.stored).count() == 0
+
+
 def test_vectors_append(spark, tmp_path):
     rows = spark.createDataFrame([(1, [1.0])], "doc_id long, embedding array<float>")
     path = str(tmp_path / "v")
