@@ -22,6 +22,10 @@ from marquee.operators.postings import FLOAT_FIELDS, NUMERIC_FIELDS, term_bucket
 from marquee.sources.index_tables import LexicalIndex
 from marquee.sources.storage import scratch_path, write_table
 
+# The ids a required word clause allows are sent to all tasks when its document
+# frequencies show that there are at most this many (about 8 MB of ids).
+ANCHOR_DOCS = 1_000_000
+
 # Required clauses are counted in the bits of one long; beyond this many a set
 # is used.
 _MASK_BITS = 60
@@ -251,7 +255,9 @@ class Matcher:
         field = clause.field
         if any((field, w) not in self.doc_freq for w in words):
             return self._nothing()
-        rows = self._lookup(self.index.postings, field, sorted(set(words)))
+        # Shuffled before grouping: words lie in different files, so there is
+        # nothing to combine (only to sort) on the way.
+        rows = self._lookup(self.index.postings, field, sorted(set(words))).repartition("doc_id")
         starts = [
             F.first(
                 F.when(F.col("term") == w, F.transform("positions", _minus(i))),
@@ -382,14 +388,34 @@ class Matcher:
         else:
             counted = worded
         needed = [s for s, _, _ in counted if roles[s] == "must"]
-        found = self._combine(reduce(DataFrame.unionByName, parts), roles, needed)
+        rows = reduce(DataFrame.unionByName, parts)
+        anchor = self._anchor([c for s, c, _ in worded if roles[s] == "must"])
+        if anchor is not None and len(worded) > 1:
+            rows = rows.join(F.broadcast(anchor), "doc_id", "left_semi")
+        found = self._combine(rows, roles, needed)
         if not numeric or not narrow_by_words:
             return found
         columns = self.index.docs.select("doc_id", *NUMERIC_FIELDS)
+        if anchor is not None:
+            found = F.broadcast(found)
         joined = found.withColumnRenamed("score", "words").join(columns, "doc_id")
         scored = self._scan(joined, numeric, conditions, roles, True)
         return scored.select("doc_id", (F.col("words") + F.col("score")).alias("score"))
 
+    def _anchor(self, required: list[C.Clause]) -> DataFrame | None:
+        """Ids of the documents with the rarest required words, if few: no other
+        document can match, so the rows of common words need not be shuffled."""
+        choices = []
+        for clause in required:
+            if isinstance(clause, C.Term):
+                known = sorted({w for w in self.words[clause.text] if (clause.field, w) in self.doc_freq})
+                most = sum(self.doc_freq[clause.field, w] for w in known)
+                choices.append((most, clause.field, known))
+        if not choices or min(choices)[0] > ANCHOR_DOCS:
+            return None
+        _, field, words = min(choices)
+        return self._lookup(self.index.postings, field, words).select("doc_id")
+
     def _scan(self, rows, numeric, conditions, roles, required: bool) -> DataFrame:
         """Numeric children as one filter and one sum over document rows."""
         keep, score, optional = F.lit(True), F.lit(0.0), F.lit(False)

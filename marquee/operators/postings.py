@@ -78,7 +78,7 @@ def text_postings(docs: DataFrame) -> DataFrame:
         .select("doc_id", "field", "dl", F.posexplode_outer("tokens").alias("pos", "term"))
         .filter(F.col("term").isNotNull())
         .groupBy("doc_id", "field", "dl", "term")
-        .agg(F.array_sort(F.collect_list("pos")).alias("positions"))
+        .agg(F.sort_array(F.collect_list("pos")).alias("positions"))
         .select("field", "term", "doc_id", F.size("positions").alias("tf"), "dl", "positions")
     )
 

@@ -14,32 +14,30 @@ CATALOG_COLUMNS = (
     "director_url", "genre", "gross", "meta_score", "movie_id", "movie_name",
     "movie_url", "plot", "rating", "runtime", "votes", "year",
 )
-CATALOG_SCHEMA = ", ".join(f"`{c}` string" for c in CATALOG_COLUMNS)
 
 _ROW_BITS = 33
 
 
 def read_catalog_csv(
-    spark: SparkSession,
-    path: str,
-    columns: tuple[str, ...] = CATALOG_COLUMNS,
-    multi_line: bool = True,
+    spark: SparkSession, path: str, multi_line: bool = True
 ) -> DataFrame:
     """All columns as text, missing values as ``''``, plus ``row_ord``.
 
-    ``columns`` are those of the file, in its order. ``row_ord`` grows with file
-    name and place in the file. Records with line breaks need ``multi_line``,
-    where one task reads one file; give large inputs as many files, or set it
-    off so that files are split.
+    Columns are named by the header, which every file must share; no types are
+    inferred. ``row_ord`` grows with file name and place in the file. Records
+    with line breaks need ``multi_line``, where one task reads one file; give
+    large inputs as many files, or set it off so that files are split.
     """
-    schema = ", ".join(f"`{c}` string" for c in columns)
+    reader = spark.read.options(
+        header=True, escape='"', multiLine=multi_line, enforceSchema=False,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
+    columns = reader.csv(path).columns
+    missing = sorted(set(CATALOG_COLUMNS) - set(columns))
+    if missing:
+        raise ValueError(f"columns missing from {path}: {missing}")
     rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
+        reader.schema(", ".join(f"`{c}` string" for c in columns))
         .csv(path)
         .select(
             "*",
@@ -47,7 +45,7 @@ def read_catalog_csv(
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_seen"),
         )
-        .fillna("", subset=list(columns))
+        .fillna("", subset=columns)
     )
     return _in_file_order(spark, path, rows) if multi_line else _in_block_order(rows)
 

@@ -170,8 +170,10 @@ def test_many_required_clauses(index):
     assert ids(index, Bool(must=[*clauses, Term("sleep", "plot")])) == [1]
 
 
-def test_bool_against_sets(make_index):
+@pytest.mark.parametrize("anchor_docs", [0, 1_000_000])
+def test_bool_against_sets(make_index, anchor_docs, monkeypatch):
     """Random clause trees against set arithmetic over brute-force leaves."""
+    monkeypatch.setattr("marquee.operators.matching.ANCHOR_DOCS", anchor_docs)
     rng = random.Random(5)
     words = ["ant", "bee", "cow", "doe", "elk"]
     rows = [
@@ -200,7 +202,7 @@ def test_bool_against_sets(make_index):
         found = (found & everything) - set().union(*(s for _, s in no))
         return Bool(*[[c for c, _ in g] for g in groups]), found
 
-    for _ in range(12):
+    for _ in range(8):
         clause, expected = tree(2)
         assert ids(index, clause) == sorted(expected), clause
 

@@ -45,6 +45,20 @@ def test_csv_scan_keeps_text_and_order(spark, tmp_path):
     assert len({r["row_ord"] for r in rows}) == 5
 
 
+def test_csv_columns_go_by_name(spark, tmp_path):
+    columns = ["extra", *reversed(CATALOG_COLUMNS)]
+    row = {**{c: c for c in columns}, "plot": "NA", "cast": ""}
+    with open(tmp_path / "a.csv", "w", newline="") as out:
+        writer = csv.DictWriter(out, columns)
+        writer.writeheader()
+        writer.writerow(row)
+    got = read_catalog_csv(spark, str(tmp_path / "a.csv")).first().asDict()
+    assert got.pop("row_ord") == 0 and got == row
+    (tmp_path / "b.csv").write_text("movie_id,plot\n1,2\n")
+    with pytest.raises(ValueError, match="missing"):
+        read_catalog_csv(spark, str(tmp_path / "b.csv"))
+
+
 def test_csv_scan_in_splits(spark, tmp_path):
     rows = [{"movie_id": f"tt{i}", "movie_name": f"Film {i}", "plot": "x" * (i % 50)} for i in range(3000)]
     write_csv(tmp_path / "a.csv", rows[:1000])
