@@ -102,6 +102,10 @@ def _minus(offset: int):
     return lambda position: position - offset
 
 
+def _semi(rows: DataFrame, only: DataFrame | None) -> DataFrame:
+    return rows if only is None else rows.join(F.broadcast(only), "doc_id", "left_semi")
+
+
 def _tagged(word: int):
     return lambda start: F.struct(F.lit(word).alias("word"), start.alias("at"))
 
@@ -162,11 +166,13 @@ class Matcher:
 
     # -- dispatch ----------------------------------------------------------
 
-    def _rows(self, clause: C.Clause, weight: float) -> DataFrame:
+    def _rows(self, clause: C.Clause, weight: float, only: DataFrame | None = None) -> DataFrame:
+        """Matches of a clause. ``only`` holds the few ids that still count; a
+        clause that would shuffle other documents leaves them out early."""
         if isinstance(clause, C.Boost):
-            return self._rows(clause.clause, weight * clause.factor)
+            return self._rows(clause.clause, weight * clause.factor, only)
         if isinstance(clause, C.Bool):
-            return self._bool(clause, weight)
+            return self._bool(clause, weight, only)
         condition = self._numeric(clause)
         if condition is not None:
             return self.index.docs.filter(condition).select(
@@ -178,7 +184,7 @@ class Matcher:
                 rows = rows.groupBy("doc_id").agg(F.sum("score").alias("score"))
             return rows.select("doc_id", "score")
         if isinstance(clause, C.Phrase):
-            return self._phrase(clause, weight)
+            return self._phrase(clause, weight, only)
         if isinstance(clause, C.Fuzzy):
             return self._fuzzy(clause, weight)
         return (
@@ -249,15 +255,19 @@ class Matcher:
             return self._nothing().select("doc_id", F.lit(0).alias("slot"), "score")
         return reduce(DataFrame.unionByName, parts)
 
-    def _phrase(self, clause: C.Phrase, weight: float) -> DataFrame:
+    def _phrase(self, clause: C.Phrase, weight: float, only: DataFrame | None) -> DataFrame:
         """Start positions of each word, brought to one row per document."""
         words = self.words[clause.text]
         field = clause.field
         if any((field, w) not in self.doc_freq for w in words):
             return self._nothing()
+        rows = self._lookup(self.index.postings, field, sorted(set(words)))
+        rarest = min(words, key=lambda w: self.doc_freq[field, w])
+        if self.doc_freq[field, rarest] <= ANCHOR_DOCS:
+            only = self._lookup(self.index.postings, field, [rarest]).select("doc_id")
         # Shuffled before grouping: words lie in different files, so there is
         # nothing to combine (only to sort) on the way.
-        rows = self._lookup(self.index.postings, field, sorted(set(words))).repartition("doc_id")
+        rows = _semi(rows, only).repartition("doc_id")
         starts = [
             F.first(
                 F.when(F.col("term") == w, F.transform("positions", _minus(i))),
@@ -348,7 +358,7 @@ class Matcher:
 
     # -- combination -------------------------------------------------------
 
-    def _bool(self, clause: C.Bool, weight: float) -> DataFrame:
+    def _bool(self, clause: C.Bool, weight: float, only: DataFrame | None) -> DataFrame:
         """Union of all matches, tagged by child, then one aggregation.
 
         Numeric children are conditions on the document table. With a required
@@ -372,12 +382,14 @@ class Matcher:
         if not worded:
             return self._scan(self.index.docs, numeric, conditions, roles, bool(must)).select("doc_id", "score")
 
+        anchor = self._anchor([c for s, c, _ in worded if roles[s] == "must"])
+        only = only if anchor is None else anchor
         parts = []
         plain = [e for e in worded if isinstance(e[1], C.Term)]
         if plain:
             parts.append(self._term_rows(plain))
         parts += [
-            self._rows(c, f).select("doc_id", F.lit(s).alias("slot"), "score")
+            self._rows(c, f, only).select("doc_id", F.lit(s).alias("slot"), "score")
             for s, c, f in worded
             if not isinstance(c, C.Term)
         ]
@@ -389,14 +401,13 @@ class Matcher:
             counted = worded
         needed = [s for s, _, _ in counted if roles[s] == "must"]
         rows = reduce(DataFrame.unionByName, parts)
-        anchor = self._anchor([c for s, c, _ in worded if roles[s] == "must"])
-        if anchor is not None and len(worded) > 1:
-            rows = rows.join(F.broadcast(anchor), "doc_id", "left_semi")
+        if len(children) > 1:
+            rows = _semi(rows, only)
         found = self._combine(rows, roles, needed)
         if not numeric or not narrow_by_words:
             return found
         columns = self.index.docs.select("doc_id", *NUMERIC_FIELDS)
-        if anchor is not None:
+        if only is not None:
             found = F.broadcast(found)
         joined = found.withColumnRenamed("score", "words").join(columns, "doc_id")
         scored = self._scan(joined, numeric, conditions, roles, True)

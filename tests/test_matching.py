@@ -140,6 +140,23 @@ def test_phrases(index):
     assert scores(index, Phrase("cat dog", "plot"))[2] == pytest.approx(idf * 2 / (2 + 1.2 * (0.25 + 0.75 * 4 / 5.25)))
 
 
+def test_phrase_of_common_words(index, monkeypatch):
+    """The same with no word rare enough to narrow the others down."""
+    clauses = [Phrase("dog cat dog", "plot"), Phrase("dog cat", "plot", slop=2)]
+    narrowed = [scores(index, c) for c in clauses]
+    monkeypatch.setattr("marquee.operators.matching.ANCHOR_DOCS", 0)
+    assert [scores(index, c) for c in clauses] == narrowed
+
+
+def test_nested_bool_under_a_rare_word(index):
+    inner = Bool(should=[Phrase("dog and", "plot"), Term("cat", "plot")], must_not=[Term("war", "genre")])
+    assert ids(index, Bool(must=[inner])) == [0, 1]
+    assert ids(index, Bool(must=[Term("olla", "name"), inner])) == [1]
+    assert ids(index, Bool(must=[Term("arms", "name"), inner])) == []
+    both = scores(index, Bool(must=[Term("olla", "name"), inner, Range("votes", 5, None)]))
+    assert both == pytest.approx({1: scores(index, Term("olla", "name"))[1] + scores(index, inner)[1] + 1})
+
+
 def test_phrase_slop(index):
     assert ids(index, Phrase("cat dog", "plot", slop=2)) == [0, 2]
     assert ids(index, Phrase("cat dog", "plot", slop=1)) == [2]
