@@ -48,9 +48,8 @@ def partition_size(spark: SparkSession, total_bytes: int | None):
         yield
         return
     before = spark.conf.get(key)
-    usual = spark.sql(f"SET {key}").first()["value"]
     wanted = max(MIN_PARTITION_BYTES, total_bytes // spark.sparkContext.defaultParallelism)
-    if wanted < _bytes(usual):
+    if wanted < _bytes(before):
         spark.conf.set(key, wanted)
     try:
         yield
