@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.scoring import SCORE_DECIMALS
 from marquee.operators.topk import top_k_per_query
+from marquee.sources.storage import scratch_path, write_table
 
 # A side of at most this many vectors is sent to every task (about 12 MB of
 # doubles at 768 dimensions); a larger query side is worked off in such blocks.
@@ -38,12 +40,16 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return places[np.lexsort((ids[places], -scores[places]))][:k]
 
 
-def _block(df: DataFrame, key: str, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """At most ``most`` rows as arrays; more would mean that keys repeat."""
+Block = tuple[np.ndarray, np.ndarray]
+
+
+def _block(df: DataFrame, key: str, most: int) -> Block | None:
+    """Keys and vectors as arrays if there are at most ``most`` rows; None (with
+    no more than that read) if there are more."""
     rows = df.select(key, "embedding").limit(most + 1).toPandas()
     if len(rows) > most:
-        raise ValueError(f"{key} must be unique")
-    return rows[key].to_numpy(), (_matrix(rows["embedding"]) if len(rows) else np.empty((0, 0)))
+        return None
+    return rows[key].to_numpy(), _matrix(rows["embedding"]) if len(rows) else np.empty((0, 0))
 
 
 class _Best:
@@ -112,6 +118,22 @@ def _scan_with_vectors(queries: DataFrame, ids, vectors, k: int, decimals: int)
     return queries.select("qid", "embedding").mapInPandas(score, _FOUND)
 
 
+def _scan_by_blocks(vectors: DataFrame, queries: DataFrame, k: int, decimals: int, block: int) -> DataFrame:
+    """One pass over the vectors per block of queries. The queries are written
+    first, so that they are not encoded anew for every block."""
+    spark = queries.sparkSession
+    queries = write_table(queries.select("qid", "embedding"), scratch_path(spark, "query-vectors"))
+    parts = 1 + 2 * queries.count() // block
+    part = F.pmod(F.xxhash64("qid"), F.lit(parts))
+    found = []
+    for i in range(parts):
+        sent = _block(queries.filter(part == i), "qid", 4 * block)
+        if sent is None:
+            raise ValueError("qid must be unique")
+        found.append(_scan_with_queries(vectors, *sent, k, decimals))
+    return reduce(DataFrame.unionByName, found)
+
+
 def inner_product_top_k(
     vectors: DataFrame,
     queries: DataFrame,
@@ -123,23 +145,17 @@ def inner_product_top_k(
     per query, over vectors (doc_id, embedding) and queries (qid, embedding).
 
     Every pair is scored, as a flat scan does, but only inside a task by matrix
-    product: what leaves a task is at most k rows per query and chunk. The side
-    that is sent to the tasks is counted first; when neither side fits in one
-    block, the queries are sent block by block.
+    product: what leaves a task is at most k rows per query. Either side is sent
+    to the tasks only if it fits in one block; when neither does, the queries are
+    sent block by block.
     """
-    n_queries = queries.limit(block + 1).count()
-    if n_queries <= block:
-        found = _scan_with_queries(vectors, *_block(queries, "qid", block), k, decimals)
-    elif vectors.limit(block + 1).count() <= block:
-        found = _scan_with_vectors(queries, *_block(vectors, "doc_id", block), k, decimals)
+    sent = _block(queries, "qid", block)
+    if sent is not None:
+        found = _scan_with_queries(vectors, *sent, k, decimals)
+    elif (sent := _block(vectors, "doc_id", block)) is not None:
+        found = _scan_with_vectors(queries, *sent, k, decimals)
     else:
-        parts = 1 + 2 * queries.count() // block
-        part = F.pmod(F.xxhash64("qid"), F.lit(parts))
-        found = None
-        for i in range(parts):
-            sent = _block(queries.filter(part == i), "qid", 4 * block)
-            rows = _scan_with_queries(vectors, *sent, k, decimals)
-            found = rows if found is None else found.unionByName(rows)
+        found = _scan_by_blocks(vectors, queries, k, decimals, block)
     return top_k_per_query(found, k, decimals=decimals)
 
 
