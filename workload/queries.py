@@ -15,7 +15,7 @@ from marquee.functions.text import (
     pad_or_truncate,
     tokenize,
 )
-from marquee.functions.urls import PAGE_BASE, segment_from_end, with_prefix
+from marquee.functions.urls import PAGE_BASE, TITLE_BASE, segment_from_end, with_prefix
 from marquee.functions.vectors import embed
 from marquee.operators import postings as P
 from marquee.operators.batch import batch_top_k
@@ -361,7 +361,7 @@ def q_attach_image_url(spark, sf_dir):
 
 def q_page_urls(spark, sf_dir):
     rows = raw_catalog(spark, sf_dir)
-    return rows.select("row_ord", with_prefix("https://imdb.com/title/", F.col("movie_id")).alias("page_url"))
+    return rows.select("row_ord", with_prefix(TITLE_BASE, F.col("movie_id")).alias("page_url"))
 
 
 QUERIES: dict[str, Query] = {
