@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import rule_ledger, url_model
+from marquee.llm import id_files, packing, prefix_bpe, rule_ledger, url_model
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,12 +15,27 @@ def op1_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_model.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.encode_decode(table(spark, sf_dir, "documents"))
+
+
+def op7_elias_fano_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_files.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ledger.judged(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_url_model": op1_url_model,
+    "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
+    "op6_prefix_bpe": op6_prefix_bpe,
+    "op7_elias_fano_ids": op7_elias_fano_ids,
     "op10_rule_ledger": op10_rule_ledger,
 }
 
