@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.llm.tokens import encoder, groups, tokenizer_path
 from marquee.sources.storage import scratch_path, write_table
@@ -115,7 +116,7 @@ def _packed(rows: DataFrame, length: str, size: int, shards: int, names: tuple[s
             table = table.append_column(name, pa.array(values, pa.int64()))
         yield from table.to_batches(max_chunksize=10_000)
 
-    schema = rows.schema
+    schema = T.StructType(rows.schema.fields)
     for name in names:
         schema = schema.add(name, "long")
     return rows.repartition(shards).withColumn("_shard", shard_of).mapInArrow(pack, schema)
