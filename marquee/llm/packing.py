@@ -116,7 +116,7 @@ def _packed(rows: DataFrame, length: str, size: int, shards: int, names: tuple[s
             table = table.append_column(name, pa.array(values, pa.int64()))
         yield from table.to_batches(max_chunksize=10_000)
 
-    schema = T.StructType(rows.schema.fields)
+    schema = T.StructType([*rows.schema.fields])
     for name in names:
         schema = schema.add(name, "long")
     return rows.repartition(shards).withColumn("_shard", shard_of).mapInArrow(pack, schema)
