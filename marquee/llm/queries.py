@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import id_files, packing, prefix_bpe, rule_ledger, url_model
+from marquee.llm import id_files, packing, page_difference, prefix_bpe, rule_ledger, url_model
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_difference.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.encode_decode(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_model": op1_url_model,
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
+    "op5_page_difference": op5_page_difference,
     "op6_prefix_bpe": op6_prefix_bpe,
     "op7_elias_fano_ids": op7_elias_fano_ids,
     "op10_rule_ledger": op10_rule_ledger,
