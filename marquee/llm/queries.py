@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import id_files, packing, page_difference, prefix_bpe, rule_ledger, url_model
+from marquee.llm import cap_filters, id_files, packing, page_difference, prefix_bpe, rule_ledger, url_model
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.vector_links(table(spark, sf_dir, "embeddings"))
+
+
 def op5_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_difference.extract(table(spark, sf_dir, "pages"))
 
@@ -38,6 +42,7 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_model": op1_url_model,
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
+    "op3_cap_filters": op3_cap_filters,
     "op5_page_difference": op5_page_difference,
     "op6_prefix_bpe": op6_prefix_bpe,
     "op7_elias_fano_ids": op7_elias_fano_ids,
@@ -45,6 +50,28 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_cap_filters": """
+with recursive v as (
+  select row_number() over () as r, vec_id, label, embedding,
+    label is not null and embedding is not null and len(embedding) > 0
+    and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+    and list_bool_or(list_transform(embedding, lambda x: x <> 0)) as sound
+  from embeddings
+),
+n as (select r, label, list_transform(embedding, lambda x: x::double) as e from v where sound),
+links as (
+  select a.r as a, b.r as b from n as a join n as b
+  on a.label = b.label and a.r <> b.r and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.98
+),
+reach as (
+  select r as a, r as b from v
+  union select reach.a, links.b from reach join links on links.a = reach.b
+),
+smallest as (select a, min(vec_id) as component_id from reach join v on v.r = reach.b group by a)
+select v.vec_id, (select count(*) from links where links.a = v.r) as n_links, s.component_id,
+  v.vec_id = s.component_id as kept
+from v join smallest as s on s.a = v.r
+""",
     "op10_rule_ledger": r"""
 with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
 w as (
