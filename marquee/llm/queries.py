@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import cap_filters, id_files, packing, page_difference, prefix_bpe, rule_ledger, url_model
+from marquee.llm import cap_filters, id_files, kneser_ney, packing, page_difference, prefix_bpe, rule_ledger, url_model
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op7_elias_fano_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ledger.judged(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op5_page_difference": op5_page_difference,
     "op6_prefix_bpe": op6_prefix_bpe,
     "op7_elias_fano_ids": op7_elias_fano_ids,
+    "op8_kneser_ney": op8_kneser_ney,
     "op10_rule_ledger": op10_rule_ledger,
 }
 
