@@ -90,7 +90,7 @@ def _unit(vectors: pa.Array, dim: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
+def groups_of(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
     """Consecutive rows with equal keys, of rows sorted by them."""
     held: list[pa.RecordBatch] = []
     last = None
@@ -215,7 +215,7 @@ def vector_links(rows: DataFrame, limit: float = LIMIT) -> DataFrame:
     dealt = full.repartition(*key).sortWithinPartitions(*key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, key):
+        for group in groups_of(batches, key):
             result = compare(group, limit)
             if result is None:
                 continue

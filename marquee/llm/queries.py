@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import cap_filters, id_files, kneser_ney, packing, page_difference, prefix_bpe, rule_ledger, url_model
+from marquee.llm import cap_filters, id_files, kneser_ney, order_minhash, packing, page_difference, prefix_bpe, rule_ledger, url_model
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap_filters.vector_links(table(spark, sf_dir, "embeddings"))
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.judged(table(spark, sf_dir, "documents"))
+
+
 def op5_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_difference.extract(table(spark, sf_dir, "pages"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op1_url_model": op1_url_model,
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
     "op3_cap_filters": op3_cap_filters,
+    "op4_order_minhash": op4_order_minhash,
     "op5_page_difference": op5_page_difference,
     "op6_prefix_bpe": op6_prefix_bpe,
     "op7_elias_fano_ids": op7_elias_fano_ids,

@@ -24,6 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.sources.storage import scratch_path, write_table
+
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0./-"  # codes 1 to 30; 0 is the start, 31 all else
 CODES = 32
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -85,10 +87,12 @@ def codes() -> Column:
     )
 
 
-def trigrams(code: Column) -> Column:
-    """For each character the index of it with the two characters before."""
-    before = lambda i: F.coalesce(F.get(code, i), F.lit(0))
-    return F.transform(code, lambda c, i: before(i - 2) * CODES * CODES + before(i - 1) * CODES + c)
+def trigrams() -> Column:
+    """For each character the index of it with the two characters before, from
+    ``code``; shifted copies are added as wholes, which reads each code once."""
+    shifted = lambda by: F.slice(F.concat(F.array(*[F.lit(0)] * by), "code"), F.lit(1), F.size("code"))
+    pairs = F.zip_with(shifted(1), "code", lambda b, c: b * CODES + c)
+    return F.zip_with(shifted(2), pairs, lambda a, bc: a * CODES * CODES + bc)
 
 
 def train(labelled: DataFrame) -> str | None:
@@ -100,10 +104,13 @@ def train(labelled: DataFrame) -> str | None:
     """
     spark = labelled.sparkSession
     counts = (
-        labelled.select("rejected", F.explode("grams").alias("gram"))
+        # explode_outer: for explode, Spark adds a filter that computes the codes twice.
+        labelled.select("rejected", F.explode_outer("grams").alias("gram"))
+        .where("gram is not null")
         .groupBy("gram")
         .agg(*[F.sum((F.col("rejected") == bad).cast("long")).alias(name) for name, bad in (("n_a", False), ("n_r", True))])
     )
+    counts = write_table(counts, scratch_path(spark, "trigrams"))
     table = spark.range(CODES**3).select(F.col("id").cast("int").alias("gram")).join(F.broadcast(counts), "gram", "left").na.fill(0)
     table = table.withColumns(
         {"c": F.col("gram") % CODES, "bc": F.col("gram") % CODES**2, "b": F.floor((F.col("gram") % CODES**2) / CODES), "ab": F.floor(F.col("gram") / CODES)}
@@ -151,7 +158,7 @@ def rejected_example(terms=REJECTED_TERMS) -> Column:
 def judge_urls(pages: DataFrame, rules=RULES, terms=REJECTED_TERMS, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """``keep``, host, path, rule, verdict, score and threshold of each row."""
     parsed = with_host_path(pages.select(*keep, F.col("url").alias("_url")), "_url").drop("_url")
-    coded = parsed.withColumns({"code": codes()}).withColumn("grams", trigrams(F.col("code"))).drop("code")
+    coded = parsed.withColumns({"code": codes()}).withColumn("grams", trigrams()).drop("code")
     fold = F.pmod(F.xxhash64("host", "path"), F.lit(HELD_OUT_FOLDS))
     labelled = coded.where(F.col("host") != "").select("grams", fold.alias("fold"), rejected_example(terms).alias("rejected"))
     model = train(labelled.where("fold > 0"))
