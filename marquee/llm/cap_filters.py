@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.components import components
+from marquee.llm.shipping import map_batches
 from marquee.sources.storage import scratch_path, write_table
 
 LIMIT = 0.98
@@ -195,7 +196,7 @@ def vector_links(rows: DataFrame, limit: float = LIMIT) -> DataFrame:
 
     n_tasks = max(spark.sparkContext.defaultParallelism, 1)
     passed = write_table(
-        classes.select("h1", "h2", "vector").repartition(n_tasks).mapInArrow(filters_of, f"{KEY}, filters array<long>"),
+        classes.select("h1", "h2", "vector").repartition(n_tasks).transform(map_batches, filters_of, f"{KEY}, filters array<long>"),
         scratch_path(spark, "filters"),
     )
     with_vectors = classes.select("h1", "h2", "label", "vector", "copies", F.size("vector").alias("_dim"))
@@ -225,7 +226,7 @@ def vector_links(rows: DataFrame, limit: float = LIMIT) -> DataFrame:
             columns = [h1[touched], h2[touched], links[touched].astype(np.int64), h1[roots[touched]], h2[roots[touched]]]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["h1", "h2", "links", "r1", "r2"])
 
-    found = write_table(dealt.mapInArrow(run, f"{KEY}, links long, r1 long, r2 long"), scratch_path(spark, "links"))
+    found = write_table(dealt.transform(map_batches, run, f"{KEY}, links long, r1 long, r2 long"), scratch_path(spark, "links"))
     forest = found.where("h1 != r1 or h2 != r2").select(F.struct("h1", "h2").alias("a"), F.struct(F.col("r1").alias("h1"), F.col("r2").alias("h2")).alias("b"))
     roots = components(forest).select("node.h1", "node.h2", "root")
     counts = found.groupBy("h1", "h2").agg(F.sum("links").alias("links"))

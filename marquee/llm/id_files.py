@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.elias_fano import EliasFano, encode
+from marquee.llm.shipping import map_batches
 from marquee.llm.tokens import encoder, groups, tokenizer_path
 from marquee.sources.storage import scratch_path, write_table
 
@@ -129,7 +130,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id
             yield flush()
 
     manifest = ordered.select("doc_id", "text", F.spark_partition_id().cast("long").alias("part"))
-    return write_table(manifest.mapInArrow(write, MANIFEST), f"{folder}/manifest")
+    return write_table(manifest.transform(map_batches, write, MANIFEST), f"{folder}/manifest")
 
 
 def read_ids(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
@@ -169,7 +170,7 @@ def read_ids(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFr
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
-    return files.mapInArrow(read, schema)
+    return files.transform(map_batches, read, schema)
 
 
 def round_trip(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1) -> DataFrame:

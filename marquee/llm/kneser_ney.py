@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.llm.shipping import map_batches
 from marquee.llm.tokens import groups
 from marquee.sources.storage import scratch_path, write_table
 
@@ -98,7 +99,7 @@ def count_four_grams(trusted: DataFrame) -> DataFrame:
             some = found[a : a + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some], pa.int64())], names=["gram", "n"])
 
-    return trusted.select("text").mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return trusted.select("text").transform(map_batches, run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def smoothed(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
@@ -182,7 +183,7 @@ def scored(docs: DataFrame, model: Model | None, text: str = "text", name: str =
             found = np.round(np.concatenate(values), 6) if values else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, from_pandas=True)], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(map_batches, run, schema)
 
 
 def trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:

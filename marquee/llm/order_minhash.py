@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm.cap_filters import groups_of
 from marquee.llm.components import components
+from marquee.llm.shipping import map_batches
 from marquee.sources.storage import scratch_path, write_table
 
 WORDS = 5
@@ -216,7 +217,7 @@ def _texts(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], lists], names=["h1", "h2", "doc_id", "keys"])
 
     rows = with_keys(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select(*KEY, "doc_id", "text")
-    mapped = rows.mapInArrow(run, "h1 long, h2 long, doc_id long, keys array<long>")
+    mapped = rows.transform(map_batches, run, "h1 long, h2 long, doc_id long, keys array<long>")
     return mapped.groupBy(*KEY).agg(F.min("doc_id").alias("first"), F.count("*").alias("n"), F.any_value("keys").alias("keys"))
 
 
@@ -257,7 +258,7 @@ def classes(docs: DataFrame, limit: float = LIMIT) -> DataFrame:
                 columns = [h1[x], h2[x], h1[y], h2[y]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a1", "a2", "b1", "b2"])
 
-    found = write_table(dealt.mapInArrow(run, "a1 long, a2 long, b1 long, b2 long"), scratch_path(spark, "near"))
+    found = write_table(dealt.transform(map_batches, run, "a1 long, a2 long, b1 long, b2 long"), scratch_path(spark, "near"))
     pair = lambda a, b: F.struct(F.col(a).alias("h1"), F.col(b).alias("h2"))
     roots = components(found.select(pair("a1", "a2").alias("a"), pair("b1", "b2").alias("b"))).select("node.h1", "node.h2", "root")
     rooted = texts.join(roots, KEY, "left").select(*KEY, "first", "n", F.coalesce("root", own).alias("root"))

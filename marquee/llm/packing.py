@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.llm.shipping import map_batches
 from marquee.llm.tokens import encoder, groups, tokenizer_path
 from marquee.sources.storage import scratch_path, write_table
 
@@ -64,7 +65,7 @@ def cut_pieces(
                 columns = zip(*rows)
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(map_batches, cut, schema)
 
 
 def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,7 +120,7 @@ def _packed(rows: DataFrame, length: str, size: int, shards: int, names: tuple[s
     schema = T.StructType([*rows.schema.fields])
     for name in names:
         schema = schema.add(name, "long")
-    return rows.repartition(shards).withColumn("_shard", shard_of).mapInArrow(pack, schema)
+    return rows.repartition(shards).withColumn("_shard", shard_of).transform(map_batches, pack, schema)
 
 
 def assign_sequences(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:

@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.llm.shipping import map_batches
 from marquee.llm.url_model import with_host_path
 
 BUCKET_PAGES = 1_000
@@ -237,7 +238,7 @@ def extract(pages: DataFrame, bucket_pages: int = BUCKET_PAGES) -> DataFrame:
         if held:
             yield _texts([(*held[:2], main_text(held[2], before))])
 
-    return ready.mapInArrow(run, SCHEMA)
+    return ready.transform(map_batches, run, SCHEMA)
 
 
 def _texts(rows: list[tuple[int, str, str]]) -> pa.RecordBatch:

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.llm.shipping import map_batches
 from marquee.llm.tokens import LETTERS, MAX_PIECES, SIGNS, SPACE, UNUSUAL, tokenizer_path
 
 # The pattern of byte-level vocabularies of this kind.
@@ -268,7 +269,7 @@ def encode_decode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(map_batches, run, SCHEMA)
 
 
 def encoded(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -281,4 +282,4 @@ def encoded(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
             ids = [np.frombuffer(own.encode(t or ""), "<u4").astype("i8") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int64()))], names=["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(map_batches, run, "doc_id long, ids array<long>")
