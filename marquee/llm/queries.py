@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import cap_filters, id_files, kneser_ney, order_minhash, packing, page_difference, prefix_bpe, rule_ledger, url_model
+from marquee.llm import cap_filters, id_files, kneser_ney, order_minhash, packing, page_difference, prefix_bpe, repeated_bytes, rule_ledger, url_model
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.judged(table(spark, sf_dir, "documents"))
+
+
 def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ledger.judged(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op6_prefix_bpe": op6_prefix_bpe,
     "op7_elias_fano_ids": op7_elias_fano_ids,
     "op8_kneser_ney": op8_kneser_ney,
+    "op9_deep_shallow": op9_deep_shallow,
     "op10_rule_ledger": op10_rule_ledger,
 }
 
