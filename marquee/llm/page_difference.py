@@ -39,8 +39,11 @@ from pyspark.sql import functions as F
 
 from marquee.llm.shipping import map_batches
 from marquee.llm.url_model import with_host_path
+from marquee.sources.storage import scratch_path, write_table
 
-BUCKET_PAGES = 1_000
+BUCKET_PAGES = 256
+#: Hosts with many pages up to this number (about 50 MB) are sent to every task, more are joined by a shuffle.
+SENT_HOSTS = 500_000
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 # Elements that are furniture by their name.
@@ -208,12 +211,13 @@ def main_text(lines: list[tuple[str, int]], neighbour: list[tuple[str, int]] | N
 def extract(pages: DataFrame, bucket_pages: int = BUCKET_PAGES) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of each page."""
     rows = with_host_path(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"))
-    many = (
+    many = write_table(
         rows.select("host").groupBy("host").count().where(F.col("count") > bucket_pages)
-        .select("host", F.ceil(F.col("count") / bucket_pages).cast("int").alias("_buckets"))
+        .select("host", F.ceil(F.col("count") / bucket_pages).cast("int").alias("_buckets")),
+        scratch_path(pages.sparkSession, "hosts"),
     )
-    # One row for each host with many pages; Spark broadcasts it or splits the hot host's rows.
-    dealt = rows.join(many, "host", "left").withColumn(
+    # Pages should move once: the join with few hosts goes without a shuffle.
+    dealt = rows.join(F.broadcast(many) if many.count() <= SENT_HOSTS else many, "host", "left").withColumn(
         "_bucket", F.pmod(F.xxhash64("path"), F.coalesce("_buckets", F.lit(1))).cast("int")
     )
     order = ["host", "_bucket", "path", "url", "page_id"]

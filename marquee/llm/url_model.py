@@ -21,7 +21,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.sources.storage import scratch_path, write_table
@@ -131,9 +131,9 @@ def train(labelled: DataFrame) -> str | None:
 def _smoothed(table: DataFrame, n: str, p: str) -> DataFrame:
     """Adds the probability of each character given the two before it."""
     one = table.groupBy("c").agg(F.sum(n).alias("n1"))
-    total = one.agg(F.sum("n1").alias("t"), F.sum((F.col("n1") > 0).cast("int")).alias("d"))
-    one = one.join(F.broadcast(total.withColumn("k", F.lit(0))), F.lit(0) == F.col("k"), "left")
-    one = one.select("c", ((F.col("n1") + F.greatest("d", F.lit(1)) / CODES) / (F.col("t") + F.greatest("d", F.lit(1)))).alias("p1"))
+    everything = Window.partitionBy()  # 32 rows
+    one = one.withColumns({"t": F.sum("n1").over(everything), "d": F.greatest(F.sum((F.col("n1") > 0).cast("int")).over(everything), F.lit(1))})
+    one = one.select("c", ((F.col("n1") + F.col("d") / CODES) / (F.col("t") + F.col("d"))).alias("p1"))
     two = table.groupBy("b", "c").agg(F.sum(n).alias("n2"))
     two_of = two.groupBy("b").agg(F.sum("n2").alias("t"), F.sum((F.col("n2") > 0).cast("int")).alias("d"))
     two = two.join(two_of, "b").join(one, "c")
