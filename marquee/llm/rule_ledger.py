@@ -144,4 +144,6 @@ def kept_rows(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
     """The input rows that pass, with all their columns."""
     columns = docs.columns
     rows = docs.select(F.col("text").alias("text"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
-    return ledger(rows, "text", ("row",)).where(passes(BASE) & passes(policy)).select("row.*")
+    # A plain filter would be pushed down through all steps and repeat each of them in the condition.
+    passed = F.when(passes(BASE) & passes(policy), F.array("row"))
+    return ledger(rows, "text", ("row",)).select(F.explode_outer(passed).alias("row")).where("row is not null").select("row.*")
