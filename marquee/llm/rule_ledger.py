@@ -94,7 +94,10 @@ def measured(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
         F.when(F.size("at") > 0, F.lit(3).cast("long")).otherwise(F.lit(0).cast("long")),
         lambda total, x: total + x,
     )
-    return repeats.select("kept.*", *MEASURES[:-1], covered.alias("n_repeat_words"))
+    # A generator of one row: conditions on the measures are not pushed below it, where they would repeat all
+    # the steps above once for each mention of a measure.
+    result = F.struct("kept.*", *MEASURES[:-1], covered.alias("n_repeat_words"))
+    return repeats.select(F.inline_outer(F.array(result)))
 
 
 def ledger(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), rules=RULES) -> DataFrame:
@@ -144,6 +147,4 @@ def kept_rows(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
     """The input rows that pass, with all their columns."""
     columns = docs.columns
     rows = docs.select(F.col("text").alias("text"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
-    # A plain filter would be pushed down through all steps and repeat each of them in the condition.
-    passed = F.when(passes(BASE) & passes(policy), F.array("row"))
-    return ledger(rows, "text", ("row",)).select(F.explode_outer(passed).alias("row")).where("row is not null").select("row.*")
+    return ledger(rows, "text", ("row",)).where(passes(BASE) & passes(policy)).select("row.*")
