@@ -15,7 +15,7 @@ import struct
 import numpy as np
 
 SAMPLE = 256
-HEAD = struct.Struct("<QQBQQ")  # count, universe, low bits, bytes of low part, bytes of high part
+HEAD = struct.Struct("<QQBQQ")  # count, largest number, low bits, bytes of low part, bytes of high part
 ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 
@@ -23,8 +23,8 @@ def encode(values: np.ndarray) -> bytes:
     """``values`` must be ascending (equal ones allowed) and not negative."""
     values = np.asarray(values, np.uint64)
     n = len(values)
-    universe = int(values[-1]) + 1 if n else 1
-    low = max(0, (universe // max(n, 1)).bit_length() - 1)
+    largest = int(values[-1]) if n else 0
+    low = max(0, ((largest + 1) // max(n, 1)).bit_length() - 1)
     high = (values >> np.uint64(low)).astype(np.int64)
     places = high + np.arange(n)
     bits = np.zeros(int(places[-1]) + 1 if n else 0, np.uint8)
@@ -36,14 +36,14 @@ def encode(values: np.ndarray) -> bytes:
         packed_low = np.packbits(planes.astype(np.uint8).ravel(), bitorder="little").tobytes()
     # The bit vector has under 3 bits a number, so 32-bit samples serve up to 10^9 numbers in one block.
     samples = places[::SAMPLE].astype("<u4").tobytes()
-    return HEAD.pack(n, universe, low, len(packed_low), len(packed_high)) + packed_low + packed_high + samples
+    return HEAD.pack(n, largest, low, len(packed_low), len(packed_high)) + packed_low + packed_high + samples
 
 
 class EliasFano:
     """Reads an encoded block out of a buffer."""
 
     def __init__(self, data: bytes, at: int = 0):
-        self.n, self.universe, self.low, n_low, n_high = HEAD.unpack_from(data, at)
+        self.n, self.largest, self.low, n_low, n_high = HEAD.unpack_from(data, at)
         at += HEAD.size
         self.low_bytes = np.frombuffer(data, np.uint8, n_low, at)
         self.high_bytes = np.frombuffer(data, np.uint8, n_high, at + n_low)

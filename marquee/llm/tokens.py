@@ -18,10 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 
-LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+# Without U+0130, whose lower case ends in a mark that is no letter.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
 SIGNS = r"!-&(-/:-@\[-`{-~"
 SPACE = r"\t-\r "
-UNUSUAL = re.compile(r"[\x1c-\x1f\x85\xa0  -     　]")
+UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 MAX_PIECES = 500_000
 
 _encoders: dict[tuple[str, bool], PieceEncoder] = {}
