@@ -25,12 +25,16 @@ from marquee.plans.search import dense_batch_search, lexical_search, top_rated
 from marquee.sources.index_tables import open_index
 from marquee.sources.catalog import read_catalog
 from marquee.sources.vectors import read_vectors
-from workload.catalog import ENCODER, raw_catalog, table
+from marquee.functions.vectors import HashedEncoder
+from workload.catalog import raw_catalog, table
 from workload.queries import QUERIES
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 
+# As wide as the vectors of a usual text model.
+ENCODER = HashedEncoder(dim=768)
+
 
 def session() -> SparkSession:
     spark = (

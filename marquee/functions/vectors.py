@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from marquee.functions.text import tokenize
 
-# The encoder's input length and the size of one encoding step.
+# The longest input encoded at once and the size of one encoding step.
 MAX_LENGTH = 512
 STEP_ROWS = 10
+MAX_SEEN = 100_000
 
 Encoded = tuple[np.ndarray, np.ndarray]
 
@@ -22,9 +23,10 @@ Encoded = tuple[np.ndarray, np.ndarray]
 class Encoder:
     """What an encoder has to offer. Subclass it to plug in a trained model.
 
-    ``prepare`` runs in Spark; ``load`` runs once per task and returns a function
-    from a list of prepared values to token vectors (rows, length, dim) and a
-    mask (rows, length).
+    ``prepare`` runs in Spark; ``windows`` cuts a prepared value into inputs that
+    the model takes at once; ``load`` runs once per task and returns a function
+    from a list of such inputs to token vectors (rows, length, dim) and a mask
+    (rows, length).
     """
 
     step_rows = STEP_ROWS
@@ -32,6 +34,9 @@ class Encoder:
     def prepare(self, text: Column) -> Column:
         return text
 
+    def windows(self, value) -> list:
+        return [value]
+
     def load(self) -> Callable[[list], Encoded]:
         raise NotImplementedError
 
@@ -48,7 +53,10 @@ class HashedEncoder(Encoder):
         self.max_length = max_length
 
     def prepare(self, text: Column) -> Column:
-        return F.slice(tokenize(text), 1, self.max_length)
+        return tokenize(text)
+
+    def windows(self, value) -> list:
+        return [value[i : i + self.max_length] for i in range(0, len(value), self.max_length)] or [value]
 
     def token_vector(self, token: str) -> np.ndarray:
         digests = b"".join(
@@ -57,10 +65,15 @@ class HashedEncoder(Encoder):
         return (np.frombuffer(digests, dtype=np.uint8) - 127.5) / 127.5
 
     def load(self) -> Callable[[list], Encoded]:
+        seen: dict[str, np.ndarray] = {}  # frequent tokens are hashed once per task
+
         def encode(rows: list) -> Encoded:
             length = max((len(r) for r in rows), default=0)
             known = sorted({t for r in rows for t in r})
-            table = np.array([self.token_vector(t) for t in known] + [np.zeros(self.dim)])
+            if len(seen) > MAX_SEEN:
+                seen.clear()
+            seen.update((t, self.token_vector(t)) for t in known if t not in seen)
+            table = np.array([seen[t] for t in known] + [np.zeros(self.dim)])
             ids = {t: i for i, t in enumerate(known)}
             places = np.full((len(rows), length), len(known))
             for i, row in enumerate(rows):
@@ -76,9 +89,24 @@ def mean_pool(vectors: np.ndarray, mask: np.ndarray) -> np.ndarray:
     return summed / np.maximum(mask.sum(axis=1, keepdims=True), 1e-9)
 
 
+def pooled_windows(rows: list, encoder: Encoder, encode: Callable[[list], Encoded]) -> list[np.ndarray]:
+    """Mean of all token vectors of each row, whatever its number of windows."""
+    inputs = [(i, w) for i, row in enumerate(rows) for w in encoder.windows(row)]
+    sums: list = [0.0] * len(rows)
+    counts = np.zeros(len(rows))
+    for start in range(0, len(inputs), encoder.step_rows):
+        some = inputs[start : start + encoder.step_rows]
+        vectors, mask = encode([w for _, w in some])
+        summed, n = np.einsum("nld,nl->nd", vectors, mask), mask.sum(axis=1)
+        for (i, _), s, c in zip(some, summed, n):
+            sums[i] = sums[i] + s
+            counts[i] += c
+    return [s / max(c, 1e-9) for s, c in zip(sums, counts)]
+
+
 def embed(text: Column, encoder: Encoder) -> Column:
-    """One float vector per text. The encoder is loaded once per task and fed a
-    few rows at a time; token vectors never leave the task."""
+    """One float vector per text, of the whole text. The encoder is loaded once
+    per task and fed a few windows at a time; token vectors never leave the task."""
 
     @F.pandas_udf("array<float>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -86,8 +114,8 @@ def embed(text: Column, encoder: Encoder) -> Column:
         for batch in batches:
             rows, out = batch.tolist(), []
             for start in range(0, len(rows), encoder.step_rows):
-                pooled = mean_pool(*encode(rows[start : start + encoder.step_rows]))
-                out.extend(pooled.astype(np.float32))
+                some = rows[start : start + encoder.step_rows]
+                out.extend(v.astype(np.float32) for v in pooled_windows(some, encoder, encode))
             yield pd.Series(out, dtype=object)
 
     return run(encoder.prepare(text))

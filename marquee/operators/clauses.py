@@ -16,7 +16,6 @@ INT_LOW, INT_HIGH = 0, 2147483647
 RATING_LOW, RATING_HIGH = 0.0, 10.0
 
 # Fixed value: a fuzzy clause stands for this many closest terms.
-FUZZY_EXPANSIONS = 50
 
 
 def numeric_value(field: str, value) -> int | float:
@@ -116,12 +115,12 @@ class Regex(Clause):
 
 @dataclass(frozen=True)
 class Fuzzy(Clause):
-    """Terms within ``max_edits`` edits; ``max_expansions=None`` takes them all."""
+    """All terms within ``max_edits`` edits, or the closest ``max_expansions`` of them."""
 
     text: str
     field: str = BODY
     max_edits: int = 2
-    max_expansions: int | None = FUZZY_EXPANSIONS
+    max_expansions: int | None = None
 
     def __post_init__(self):
         if self.max_edits not in (0, 1, 2):

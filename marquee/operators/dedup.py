@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.sources.storage import scratch_path, write_table
+
 
 def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The first row of each key in ``order``.
@@ -30,29 +32,25 @@ def distinct_rows(df: DataFrame, order: str | None = None) -> DataFrame:
     return df.groupBy(*columns).agg(F.min(order).alias(order)).select(*df.columns)
 
 
-def with_row_positions(
-    df: DataFrame, order: str, name: str = "doc_pos", span: int = 1 << 17
-) -> DataFrame:
-    """Dense 0-based position of every row by a unique integer column.
+def with_row_positions(df: DataFrame, order: str, name: str = "doc_pos") -> DataFrame:
+    """Dense 0-based position of every row by a unique column, dense or not.
 
-    Rows are cut into runs of ``span`` consecutive order values. Only one count
-    per run goes through a global window; the rows themselves are numbered run
-    by run, at most ``span`` rows each.
+    Rows are range-partitioned and sorted by ``order`` and written, so that they
+    are counted and numbered in the same partitions; only one count per partition
+    goes through a global window.
     """
-    runs = df.withColumn("_run", F.col(order) - F.pmod(F.col(order), F.lit(span)))
+    spark = df.sparkSession
+    runs = df.repartitionByRange(order).sortWithinPartitions(order).withColumns(
+        {"_run": F.spark_partition_id(), "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}
+    )
+    runs = write_table(runs, scratch_path(spark, "positions"))
     before = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         runs.groupBy("_run")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("_run", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     )
-    inside = Window.partitionBy("_run").orderBy(order)
-    return (
-        runs.withColumn("_pos", F.row_number().over(inside) - 1)
-        .join(starts, "_run")
-        .withColumn(name, F.col("_start") + F.col("_pos"))
-        .drop("_run", "_pos", "_start")
-    )
+    return runs.join(starts, "_run").withColumn(name, F.col("_start") + F.col("_pos")).drop("_run", "_pos", "_start")
 
 
 def patch_ids(df: DataFrame, corrections: DataFrame, key: str = "movie_id", new: str = "new_id") -> DataFrame:

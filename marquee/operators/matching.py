@@ -187,8 +187,13 @@ class Matcher:
             return self._phrase(clause, weight, only)
         if isinstance(clause, C.Fuzzy):
             return self._fuzzy(clause, weight)
+        # The test runs over the vocabulary. The terms it leaves are written, so that
+        # the join knows how many they are and the postings are not tested again.
+        terms = self.index.terms.filter((F.col("field") == clause.field) & self._term_test(clause))
+        terms = write_table(terms.select("term_bucket", "term"), scratch_path(self.spark, "chosen-terms"))
         return (
-            self.index.postings.filter((F.col("field") == clause.field) & self._term_test(clause))
+            self.index.postings.filter(F.col("field") == clause.field)
+            .join(terms, ["term_bucket", "term"])
             .select("doc_id")
             .distinct()
             .withColumn("score", F.lit(float(weight)))
@@ -365,11 +370,13 @@ class Matcher:
         word clause they are tested on the documents that clause left; without
         one they take part in the union.
         """
-        must, should = list(clause.must), list(clause.should)
+        must, should, must_not = (
+            [c for c in group if not self._wordless(c)] for group in (clause.must, clause.should, clause.must_not)
+        )
         if not must and not should:
             return self._nothing()
         children, roles = [], []
-        for role, group in (("must", must), ("should", should), ("not", clause.must_not)):
+        for role, group in (("must", must), ("should", should), ("not", must_not)):
             for child in group:
                 factor = weight
                 while isinstance(child, C.Boost):
@@ -413,6 +420,17 @@ class Matcher:
         scored = self._scan(joined, numeric, conditions, roles, True)
         return scored.select("doc_id", (F.col("words") + F.col("score")).alias("score"))
 
+    def _wordless(self, clause: C.Clause) -> bool:
+        """Whether a clause analyses to no word at all; such a clause asks for nothing."""
+        if isinstance(clause, C.Boost):
+            return self._wordless(clause.clause)
+        if isinstance(clause, C.Bool):
+            inner = (*clause.must, *clause.should, *clause.must_not)
+            return bool(inner) and all(map(self._wordless, inner))
+        return (
+            isinstance(clause, (C.Term, C.Phrase)) and self._numeric(clause) is None and not self.words.get(clause.text)
+        )
+
     def _anchor(self, required: list[C.Clause]) -> DataFrame | None:
         """Ids of the documents with the rarest required words, if few: no other
         document can match, so the rows of common words need not be shuffled."""

@@ -13,6 +13,10 @@ from marquee.sources.storage import scratch_path, write_table
 # More id folders than this are not named one by one in a scan.
 MAX_FOLDERS = 1000
 
+# Spark limits groups before a shuffle up to this rank (spark.sql.optimizer.windowGroupLimitThreshold).
+GROUP_LIMIT = 1000
+QUERY_PARTS = 64
+
 HIT_FIELDS = ("score", *STORED_FIELDS)
 _DENSE_TEXT = ("score", "year", "rating", "votes", "runtime")
 
@@ -34,14 +38,21 @@ def top_k(matches: DataFrame, k: int = 5, decimals: int = SCORE_DECIMALS) -> Dat
 def top_k_per_query(
     matches: DataFrame, k: int = 5, query: str = "qid", decimals: int = SCORE_DECIMALS
 ) -> DataFrame:
-    """The k best rows of each query. The rank filter keeps k rows per query and
-    task before the shuffle, so a query that matches most rows stays small."""
-    order = Window.partitionBy(query).orderBy(F.desc("score"), "doc_id")
-    return (
-        matches.withColumn("score", F.round("score", decimals))
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-    )
+    """The k best rows of each query.
+
+    A query that matches most rows must not be sorted in one task. Up to a
+    thousand, Spark keeps k rows per query and task before it shuffles; for
+    larger k the rows of a query are first ranked in parts by document, so that
+    the last step sorts k rows of each part.
+    """
+    rows = matches.withColumn("score", F.round("score", decimals))
+    best_first = (F.desc("score"), F.col("doc_id"))
+    if k > GROUP_LIMIT:
+        part = F.pmod(F.xxhash64("doc_id"), F.lit(QUERY_PARTS)).alias("_part")
+        inside = Window.partitionBy(query, "_part").orderBy(*best_first)
+        rows = rows.select("*", part).withColumn("_rank", F.row_number().over(inside)).filter(F.col("_rank") <= k).drop("_part", "_rank")
+    order = Window.partitionBy(query).orderBy(*best_first)
+    return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def fetch(hits: DataFrame, stored: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.operators.postings import doc_bucket
@@ -16,6 +16,7 @@ CATALOG_COLUMNS = (
 )
 
 _ROW_BITS = 33
+_ODD = "_odd_record"
 
 
 def read_catalog_csv(
@@ -27,20 +28,23 @@ def read_catalog_csv(
     inferred. ``row_ord`` grows with file name and place in the file. Records
     with line breaks need ``multi_line``, where one task reads one file; give
     large inputs as many files, or set it off so that files are split.
+
+    A record with more fields than the header ends the read with an error; one
+    with fewer lacks the last values.
     """
-    reader = spark.read.options(
-        header=True, escape='"', multiLine=multi_line, enforceSchema=False,
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-    )
+    form = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    reader = spark.read.options(header=True, multiLine=multi_line, enforceSchema=False, **form)
     columns = reader.csv(path).columns
     missing = sorted(set(CATALOG_COLUMNS) - set(columns))
     if missing:
         raise ValueError(f"columns missing from {path}: {missing}")
     rows = (
-        reader.schema(", ".join(f"`{c}` string" for c in columns))
+        reader.schema(", ".join(f"`{c}` string" for c in (*columns, _ODD)))
+        .option("columnNameOfCorruptRecord", _ODD)
         .csv(path)
+        .withColumn(columns[0], _checked(columns, form))
         .select(
-            "*",
+            *[F.col(f"`{c}`") for c in columns],
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_seen"),
@@ -50,6 +54,14 @@ def read_catalog_csv(
     return _in_file_order(spark, path, rows) if multi_line else _in_block_order(rows)
 
 
+def _checked(columns: list[str], form: dict) -> Column:
+    """The first column, or an error for a record that has a field too many."""
+    wider = ", ".join(f"`{c}` string" for c in (*columns, "_surplus"))
+    again = F.from_csv(F.col(_ODD), wider, {**form, "nullValue": "\u0001", "emptyValue": ""})
+    fault = F.raise_error(F.concat(F.lit("more fields than the header has: "), F.col(_ODD)))
+    return F.when(again["_surplus"].isNotNull(), fault.cast("string")).otherwise(F.col(f"`{columns[0]}`"))
+
+
 def _in_file_order(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     """A file is read by one task, so the row counter grows along it; the rank of
     the file among the listed files goes in front."""

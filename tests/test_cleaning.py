@@ -114,9 +114,10 @@ def test_distinct_rows_keep_lowest_order(spark):
     assert distinct_rows(df.select("t")).count() == 2
 
 
-def test_row_positions_across_runs(spark):
-    df = spark.range(0, 5000).select((F.col("id") * 7 + (F.col("id") % 3)).alias("o"))
-    got = with_row_positions(df, "o", span=100).orderBy("o").collect()
+@pytest.mark.parametrize("order", ["id * 7 + id % 3", "xxhash64(id)", "id * 1000000000000 - 7"])
+def test_row_positions_of_dense_and_sparse_ids(spark, order):
+    df = spark.range(0, 5000).selectExpr(f"{order} as o")
+    got = with_row_positions(df, "o").orderBy("o").collect()
     assert [r["doc_pos"] for r in got] == list(range(5000))
 
 

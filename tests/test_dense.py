@@ -91,9 +91,10 @@ def test_hashed_embedding_by_hand(spark):
 
     df = spark.createDataFrame([(0, "Cat dog cat"), (1, ""), (2, "dog dog cat cow")], "i int, t string")
     got = df.select("i", embed(F.col("t"), HashedEncoder(16, max_length=2)).alias("e")).orderBy("i").collect()
-    assert got[0]["e"] == pytest.approx(((vector("cat") + vector("dog")) / 2).tolist(), abs=1e-6)
+    # Texts longer than one window are pooled over all their windows.
+    assert got[0]["e"] == pytest.approx(((2 * vector("cat") + vector("dog")) / 3).tolist(), abs=1e-6)
     assert got[1]["e"] == [0.0] * 16
-    assert got[2]["e"] == pytest.approx(vector("dog").tolist(), abs=1e-6)
+    assert got[2]["e"] == pytest.approx(((2 * vector("dog") + vector("cat") + vector("cow")) / 4).tolist(), abs=1e-6)
     with pytest.raises(ValueError):
         HashedEncoder(10)
 
@@ -118,3 +119,12 @@ def test_plugged_in_encoder(spark):
     df = spark.createDataFrame([("ab",), ("c",), ("abc",), ("z",), ("",)], "t string").coalesce(1)
     got = {r["t"]: r["e"] for r in df.select("t", embed(F.col("t"), LetterEncoder()).alias("e")).collect()}
     assert got == {"ab": [97.5], "c": [99.0], "abc": [98.0], "z": [122.0], "": [0.0]}
+
+
+def test_many_hits_per_query_are_ranked_in_parts(spark):
+    rows = spark.range(0, 20_000).select(F.lit(1).alias("qid"), F.col("id").alias("doc_id"), (F.col("id") % 97).cast("double").alias("score"))
+    best = top_k_per_query(rows, 5000)
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "_part" in plan and plan.count("Window ") == 2
+    expected = sorted(((-(i % 97), i) for i in range(20_000)))[:5000]
+    assert [r["doc_id"] for r in best.orderBy("rank").collect()] == [i for _, i in expected]

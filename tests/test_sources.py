@@ -220,3 +220,12 @@ def test_image_lookup_over_pages(spark):
     image = extract_attribute(F.col("html"), "img", "data-image-id", F.col("image_id"), "src")
     got = {r["id"]: (r["image_id"], r["src"]) for r in linked.withColumn("src", image).collect()}
     assert got == {1: ("rm7-curr", "http://i/7.jpg"), 2: (None, None), 3: (None, None)}
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_csv_record_with_a_field_too_many_is_an_error(spark, tmp_path, multi_line):
+    write_csv(tmp_path / "a.csv", FILMS[:2])
+    with open(tmp_path / "a.csv", "a") as out:
+        out.write(",".join(["x"] * len(CATALOG_COLUMNS)) + ",surplus\n")
+    with pytest.raises(Exception, match="more fields"):
+        read_catalog_csv(spark, str(tmp_path / "a.csv"), multi_line=multi_line).collect()

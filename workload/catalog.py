@@ -15,10 +15,11 @@ from marquee.sources.index_tables import LexicalIndex
 from marquee.sources.storage import scratch_path
 
 # Read by Spark and by the checking engine alike. ``copy`` is 0 for the row
-# itself, 1 for an exact copy and 2 for a later row with the same key.
+# itself, 1 for an exact copy, 2 for a later row with the same key and 3 for a
+# record of its own that has no plot.
 ROW_SQL = """
   doc_id * 4 + copy as row_ord,
-  'tt' || lpad(cast(doc_id as string), 12, '0') as movie_id,
+  case when copy = 3 then 'tx' else 'tt' end || lpad(cast(doc_id as string), 12, '0') as movie_id,
   case when doc_id % 30 = 3 then 'Short ' else '' end || split_part(text, chr(10), 1) as movie_name,
   case when doc_id % 11 = 0 then '' when doc_id % 12 = 5 then cast(1920 + doc_id % 104 as string) || '.0'
        else cast(1920 + doc_id % 104 as string) end as year,
@@ -35,12 +36,12 @@ ROW_SQL = """
   case when doc_id % 10 = 0 then '' else 'Director ' || cast(doc_id % 23 as string) end as director,
   case doc_id % 6 when 0 then 'Short,Comedy,Drama' when 1 then 'Drama' when 2 then 'Comedy,Short'
        when 3 then 'Short' when 4 then '' else 'Action,Drama' end as genre,
-  case when doc_id % 19 = 0 then '' else replace(text, chr(10), ' ') end as plot,
+  case when copy = 3 then '' else replace(text, chr(10), ' ') end as plot,
   '' as meta_score, '' as gross,
   'http://img.example/' || cast(doc_id as string) || '.jpg' as movie_url
 """
 
-COPIES = {1: "doc_id % 25 = 0", 2: "doc_id % 40 = 0"}
+COPIES = {1: "doc_id % 25 = 0", 2: "doc_id % 40 = 0", 3: "doc_id % 19 = 0"}
 
 ENCODER = HashedEncoder(dim=16)
 

@@ -46,13 +46,22 @@ from marquee.operators.snippet import snippet
 from marquee.operators.topk import fetch, hit_records, result_cards, top_k
 from marquee.plans.search import lexical_hits, lexical_search, top_rated
 from marquee.sources.hits_json import hits_from_json, hits_to_json
-from marquee.sources.storage import spread
+from marquee.sources.catalog import CATALOG_COLUMNS, read_catalog_csv
+from marquee.sources.storage import scratch_path, spread
 from workload.catalog import ENCODER, dense_tables, lexical_index, raw_catalog, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DECIMALS = 4
 
+# A permutation of numbers below 2^40.
+SPARSE = "row_ord * 7919000017 % 1099511627776"
+
+SOURCE_COLUMNS = (
+    "movie_id", "movie_name", "year", "rating", "votes", "runtime", "certificate", "cast", "director", "genre",
+    "plot", "meta_score", "gross", "movie_url",
+)
+
 # The clause queries; each gives every matching document with its score.
 CLAUSES: dict[str, Clause] = {
     "term_match": Term("Comedy actor 12"),
@@ -66,7 +75,8 @@ CLAUSES: dict[str, Clause] = {
     "prefix": Prefix("Comed", "genre"),
     "wildcard": Wildcard("th?r*e", "plot"),
     "regex": Regex("(in)+g?[aeiou]t.*", "plot"),
-    "fuzzy": Fuzzy("thsi", "plot"),
+    "fuzzy": Fuzzy("then", "plot"),
+    "fuzzy_limited": Fuzzy("thsi", "plot", max_expansions=50),
     "phrase": Phrase("of the", "plot"),
     "phrase_slop": Phrase("the on and", "plot", slop=6),
     "bool_must_should_not": Bool(
@@ -85,10 +95,13 @@ CLAUSES: dict[str, Clause] = {
     "numbers_only": Bool(
         must=[Range("year", 1960, 1999)], should=[Range("rating", 8, None), Boost(Range("votes", 500, None), 3)]
     ),
-    "only_must_not_empty": Bool(must_not=[Term("drama", "genre")]),
+    "only_must_not_empty": Bool(should=[Bool(must_not=[Term("drama", "genre")]), Term("comedy", "genre")]),
+    "bool_empty_word": Bool(
+        must=[Term("drama", "genre"), Term("!!!", "genre")], should=[Term("...")], must_not=[Term("?", "plot")]
+    ),
     "boost": Boost(Term("action unknown"), 2.5),
     "match_all": MatchAll(),
-    "unindexed_field_empty": Term("tt000000000001", "movie_id"),
+    "unindexed_field_empty": Bool(should=[Term("tt000000000001", "movie_id"), Term("drama", "genre")]),
 }
 
 BM25_TOP = Bool(should=[Term("comedy director the"), Term("actor", "cast"), Prefix("uni")])
@@ -127,6 +140,20 @@ def q_row_ids(spark, sf_dir):
     return with_row_positions(rows, "row_ord").select("movie_id", "doc_pos")
 
 
+def q_row_ids_sparse(spark, sf_dir):
+    """Positions by an order that leaves large gaps."""
+    rows = raw_catalog(spark, sf_dir).select("row_ord", F.expr(SPARSE).alias("sparse"))
+    return with_row_positions(rows, "sparse").select("row_ord", "doc_pos")
+
+
+def q_csv_round_trip(spark, sf_dir):
+    """The catalog written as CSV and read again."""
+    columns = [F.col(c) if c in SOURCE_COLUMNS else F.lit("").alias(c) for c in CATALOG_COLUMNS]
+    path = scratch_path(spark, "csv")
+    raw_catalog(spark, sf_dir).select(*columns).write.csv(path, header=True, escape='"', emptyValue="")
+    return read_catalog_csv(spark, path).select(*SOURCE_COLUMNS)
+
+
 def q_snippet(spark, sf_dir):
     rows = distinct_rows(raw_catalog(spark, sf_dir), "row_ord")
     return rows.select("row_ord", snippet().alias("snippet"))
@@ -329,7 +356,7 @@ def q_hits_join_catalog(spark, sf_dir):
     vectors, catalog = dense_tables(spark, sf_dir)
     hits = inner_product_top_k(vectors, _encoded_queries(spark, sf_dir), 5, DECIMALS)
     named = catalog.withColumnRenamed("movie_name", "name")
-    return hit_records(fetch(hits, named), ("qid", "rank"), stringify=True).drop("score")
+    return hit_records(fetch(hits, named), ("qid", "rank"), stringify=True).withColumn("score", F.col("score").cast("double"))
 
 
 # -- pages ------------------------------------------------------------------
