@@ -155,7 +155,7 @@ class Matcher:
         return {(r["field"], r["term"]): r["df"] for r in rows}
 
     def _nothing(self) -> DataFrame:
-        return self.index.docs.select("doc_id", F.lit(0.0).alias("score")).filter(F.lit(False))
+        return self.index.points.select("doc_id", F.lit(0.0).alias("score")).filter(F.lit(False))
 
     def _idf(self, field: str, word: str) -> float:
         return self._idf_of(field, self.doc_freq[field, word])
@@ -175,7 +175,7 @@ class Matcher:
             return self._bool(clause, weight, only)
         condition = self._numeric(clause)
         if condition is not None:
-            return self.index.docs.filter(condition).select(
+            return self.index.points.filter(condition).select(
                 "doc_id", F.lit(float(weight)).alias("score")
             )
         if isinstance(clause, C.Term) or (isinstance(clause, C.Phrase) and len(self.words[clause.text]) < 2):
@@ -387,10 +387,13 @@ class Matcher:
         numeric = [e for e in children if conditions[e[0]] is not None]
         worded = [e for e in children if conditions[e[0]] is None]
         if not worded:
-            return self._scan(self.index.docs, numeric, conditions, roles, bool(must)).select("doc_id", "score")
+            return self._scan(self.index.points, numeric, conditions, roles, bool(must)).select("doc_id", "score")
 
         anchor = self._anchor([c for s, c, _ in worded if roles[s] == "must"])
-        only = only if anchor is None else anchor
+        if anchor is not None:
+            if not anchor[0]:  # a required clause that nothing matches
+                return self._nothing()
+            only = anchor[1]
         parts = []
         plain = [e for e in worded if isinstance(e[1], C.Term)]
         if plain:
@@ -413,7 +416,7 @@ class Matcher:
         found = self._combine(rows, roles, needed)
         if not numeric or not narrow_by_words:
             return found
-        columns = self.index.docs.select("doc_id", *NUMERIC_FIELDS)
+        columns = self.index.points
         if only is not None:
             found = F.broadcast(found)
         joined = found.withColumnRenamed("score", "words").join(columns, "doc_id")
@@ -431,19 +434,33 @@ class Matcher:
             isinstance(clause, (C.Term, C.Phrase)) and self._numeric(clause) is None and not self.words.get(clause.text)
         )
 
-    def _anchor(self, required: list[C.Clause]) -> DataFrame | None:
-        """Ids of the documents with the rarest required words, if few: no other
-        document can match, so the rows of common words need not be shuffled."""
-        choices = []
-        for clause in required:
-            if isinstance(clause, C.Term):
-                known = sorted({w for w in self.words[clause.text] if (clause.field, w) in self.doc_freq})
-                most = sum(self.doc_freq[clause.field, w] for w in known)
-                choices.append((most, clause.field, known))
+    def _anchor(self, required: list[C.Clause]) -> tuple[int, DataFrame] | None:
+        """How many postings the rarest required words have, and the ids in them, if
+        few: no other document can match, so the rows of common words need not be
+        shuffled."""
+        choices = [x for x in map(self._rarest, required) if x is not None]
         if not choices or min(choices)[0] > ANCHOR_DOCS:
             return None
-        _, field, words = min(choices)
-        return self._lookup(self.index.postings, field, words).select("doc_id")
+        most, field, words = min(choices)
+        ids = self._lookup(self.index.postings, field, words).select("doc_id") if words else self._nothing().select("doc_id")
+        return most, ids
+
+    def _rarest(self, clause: C.Clause) -> tuple[int, str, list[str]] | None:
+        """Words of which a match of the clause has at least one, with the number of
+        their postings: all words of a term clause, the rarest one of a phrase, the
+        best of what a nested clause requires."""
+        if isinstance(clause, C.Boost):
+            return self._rarest(clause.clause)
+        if isinstance(clause, C.Bool):
+            inner = [self._rarest(c) for c in clause.must if not self._wordless(c)]
+            return min((x for x in inner if x is not None), default=None)
+        if not isinstance(clause, (C.Term, C.Phrase)) or self._numeric(clause) is not None or not self.words.get(clause.text):
+            return None
+        counts = sorted((self.doc_freq.get((clause.field, w), 0), w) for w in set(self.words[clause.text]))
+        if isinstance(clause, C.Phrase):
+            counts = counts[:1]
+        known = [(n, w) for n, w in counts if n]
+        return sum(n for n, _ in known), clause.field, [w for _, w in known]
 
     def _scan(self, rows, numeric, conditions, roles, required: bool) -> DataFrame:
         """Numeric children as one filter and one sum over document rows."""
@@ -471,7 +488,7 @@ class Matcher:
         ]
         met = F.filter(F.array(*entries), lambda e: e.isNotNull())
         any_met = reduce(Column.__or__, [conditions[s] for s, _, _ in numeric])
-        return self.index.docs.filter(any_met).select("doc_id", F.inline(met))
+        return self.index.points.filter(any_met).select("doc_id", F.inline(met))
 
     def _combine(self, rows: DataFrame, roles: list[str], needed: list[int]) -> DataFrame:
         def by_slot(values) -> Column:

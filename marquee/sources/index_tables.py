@@ -1,13 +1,20 @@
-"""The lexical index as four Parquet tables.
+"""The lexical index as Parquet tables.
 
 ``docs``      stored fields, tokens and lengths, in folders of consecutive ids
+``points``    the numbers of each document alone, for numeric clauses
 ``postings``  in folders by field and term bucket, sorted by term then document
 ``terms``     document frequencies, same folders
 ``fields``    one row per text field: counts, mean length, bucket number
+
+A build writes them into a folder of its own and adds that folder's name to the
+table ``versions`` last, so a build that fails leaves the index as it was, and
+searches that are running keep their files.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,12 +43,15 @@ POSTINGS_SCHEMA = (
     "term string, doc_id long, tf int, dl int, positions array<int>, field string, term_bucket int"
 )
 TERMS_SCHEMA = "term string, df long, max_tf int, min_dl int, field string, term_bucket int"
+POINTS_SCHEMA = "doc_id long, " + ", ".join(f"`{c}` {_STORED_TYPES[c]}" for c in P.NUMERIC_FIELDS)
+VERSIONS_SCHEMA = "version string, built_at long"
 FIELDS_SCHEMA = "field string, n_docs long, avg_len double, buckets int"
 
 
 @dataclass(frozen=True)
 class LexicalIndex:
     docs: DataFrame
+    points: DataFrame
     postings: DataFrame
     terms: DataFrame
     fields: dict[str, tuple[int, float]]
@@ -65,7 +75,10 @@ def write_index(analyzed: DataFrame, path: str) -> None:
     Each table is written before the next one is derived from it, so a lost
     executor costs one stage and not the whole chain.
     """
+    spark, version = analyzed.sparkSession, f"version-{uuid.uuid4().hex}"
+    index, path = path, f"{path}/{version}"
     docs = write_sorted(analyzed, f"{path}/docs", ["doc_bucket"], ["doc_id"])
+    docs.select("doc_id", *P.NUMERIC_FIELDS).write.parquet(f"{path}/points")
     stats = P.field_stats(docs).collect()
     n_docs = max((r["n_docs"] for r in stats), default=0)
     n_tokens = sum(int(r["n_docs"] * r["avg_len"]) for r in stats)
@@ -79,16 +92,21 @@ def write_index(analyzed: DataFrame, path: str) -> None:
     write_sorted(
         P.term_stats(written).withColumn("term_bucket", bucket), f"{path}/terms", folders, ["term"]
     )
-    # Written last: without it the index does not open.
     fields = P.field_stats(docs).withColumn("buckets", F.lit(buckets))
     fields.coalesce(1).write.mode("overwrite").parquet(f"{path}/fields")
+    # One row per build; the last one counts.
+    added = spark.createDataFrame([(version, time.time_ns())], VERSIONS_SCHEMA)
+    added.coalesce(1).write.mode("append").parquet(f"{index}/versions")
 
 
 def open_index(spark: SparkSession, path: str, **settings) -> LexicalIndex:
-    """Read the tables; only the few rows of ``fields`` come to the driver."""
+    """Read the tables; only the last version's name and the few rows of ``fields`` come to the driver."""
+    versions = spark.read.schema(VERSIONS_SCHEMA).parquet(f"{path}/versions")
+    path = f"{path}/{versions.orderBy(F.desc('built_at')).first()['version']}"
     stats = spark.read.schema(FIELDS_SCHEMA).parquet(f"{path}/fields").collect()
     return LexicalIndex(
         docs=spark.read.schema(DOCS_SCHEMA).parquet(f"{path}/docs"),
+        points=spark.read.schema(POINTS_SCHEMA).parquet(f"{path}/points"),
         postings=spark.read.schema(POSTINGS_SCHEMA).parquet(f"{path}/postings"),
         terms=spark.read.schema(TERMS_SCHEMA).parquet(f"{path}/terms"),
         fields={r["field"]: (r["n_docs"], r["avg_len"]) for r in stats},

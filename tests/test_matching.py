@@ -292,3 +292,10 @@ def test_batch_more_hits_than_documents(spark, skewed):
     got = batch_top_k(index, asked, 1000, field="plot", prune=True).groupBy("qid").count().collect()
     expected = {q: len(brute_force(rows, t, 1000)) for q, t in [(1, "w0 w3"), (2, "w58")]}
     assert {r["qid"]: r["count"] for r in got} == {q: n for q, n in expected.items() if n}
+
+
+def test_required_phrases_and_nested_clauses_narrow(index):
+    absent = Phrase("nowhere tobefound", "plot")
+    for required in (absent, Bool(must=[absent]), Bool(must=[Bool(must=[Term("nowhere", "plot")])])):
+        found = match(index, Bool(must=[required], should=[Term("the")]))
+        assert "postings" not in found._jdf.queryExecution().optimizedPlan().toString() and found.isEmpty()

@@ -12,6 +12,7 @@ from marquee.operators.topk import HIT_FIELDS, fetch, fetch_known, result_cards,
 from marquee.operators.matching import match
 from marquee.plans.build import build
 from marquee.plans.search import SearchSite, dense_batch_search, lexical_batch_search, search
+from marquee.sources import index_tables
 from marquee.sources.catalog import CATALOG_COLUMNS, read_catalog_csv
 from marquee.sources.hits_json import TEXT_RECORD, hits_from_json, hits_to_json
 from marquee.sources.storage import _bytes, partition_size
@@ -131,6 +132,18 @@ def test_rebuild_replaces(spark, site, tmp_path):
     assert SearchSite(spark, out).lexical().docs.count() == 1
 
 
+def test_failed_rebuild_leaves_the_index(spark, tmp_path, monkeypatch):
+    write_csv(tmp_path / "films.csv", FILMS)
+    out = str(tmp_path / "site")
+    build(spark, str(tmp_path / "films.csv"), out, which={"lexical"})
+    monkeypatch.setattr(index_tables.P, "term_stats", lambda postings: 1 / 0)
+    write_csv(tmp_path / "films.csv", FILMS[:1])
+    with pytest.raises(ZeroDivisionError):
+        build(spark, str(tmp_path / "films.csv"), out, which={"lexical"})
+    index = SearchSite(spark, out).lexical()
+    assert index.docs.count() == index.points.count() == 3
+
+
 def test_hits_json(site):
     place, _ = site
     index = place.lexical()
