@@ -285,9 +285,12 @@ def spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``h1``, ``h2`` (a text's key) and ``spans``: maximal runs of bytes to remove, as (begin, end), in order."""
     spark = docs.sparkSession
     anchors = write_table(_anchors(docs, window), scratch_path(spark, "anchors"))
-    alike = anchors.groupBy("gram", *ID).agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "p", "a", "b")).alias("at"))
     grams = anchors.groupBy("gram").agg(F.count("*").alias("total")).where("total > 1").select("gram")
-    stretch = write_table(alike.join(grams, "gram"), scratch_path(spark, "stretches"))
+    # Written before it is grouped: else Spark would group in the tasks of the join, where a hot anchor is one task.
+    again = write_table(anchors.join(grams, "gram", "left_semi"), scratch_path(spark, "anchors-again"))
+    stretch = write_table(
+        again.groupBy("gram", *ID).agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "p", "a", "b")).alias("at")), scratch_path(spark, "stretches")
+    )
     groups = (
         stretch.groupBy("gram").agg(F.count("*").alias("c"), F.min("n").alias("least")).where("c > 1 and least = 1")
         .select("gram", (F.col("c") > GROUP).alias("hot"))
@@ -307,7 +310,7 @@ def spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     found = write_table(_compared(ready, window).unionByName(_counted(dense, window)), scratch_path(spark, "windows"))
     parts = found.groupBy(*ID).agg(F.collect_list(F.struct("low", "high")).alias("parts"))
     whole = stretch.where("n > 1").select(*ID, F.lit(None).cast(parts.schema["parts"].dataType).alias("parts"))
-    covered = anchors.select(*KEY, "p", "a", "b", *ID).join(whole.unionByName(parts), ID)
+    covered = again.select(*KEY, "p", "a", "b", *ID).join(whole.unionByName(parts), ID)
     one = F.array(F.struct(F.col("a").alias("x"), (F.col("b") + window).alias("y")))
     some = F.transform("parts", lambda i: F.struct((F.col("p") - i["high"]).alias("x"), (F.col("p") - i["low"] + window).alias("y")))
     pieces = covered.select(*KEY, F.inline(F.when(F.col("parts").isNull(), one).otherwise(some))).distinct()
