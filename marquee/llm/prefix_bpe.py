@@ -30,12 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.shipping import map_batches
-from marquee.llm.tokens import LETTERS, MAX_PIECES, SIGNS, SPACE, UNUSUAL, tokenizer_path
+from marquee.llm.tokens import LETTERS, SIGNS, SPACE, tokenizer_path, unusual
 
 # The pattern of byte-level vocabularies of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-MAX_PAIRS = 2_000_000
+MAX_PIECES = 500_000
+MAX_PAIRS = 1_000_000
 
 _codecs: dict[str, PrefixBpe] = {}
 
@@ -226,7 +227,7 @@ class PrefixBpe:
 
     def _plain(self, text: str) -> bytes:
         known = self.pieces
-        pieces = self.cut(text) if UNUSUAL.search(text) else self.runs(text)
+        pieces = self.cut(text) if unusual(text) else self.runs(text)
         try:
             return b"".join(map(known.__getitem__, pieces))
         except KeyError:
