@@ -44,13 +44,12 @@ class Encoder:
 class HashedEncoder(Encoder):
     """Token vectors made from digests of the token: no weights, same everywhere."""
 
-    step_rows = 64
-
     def __init__(self, dim: int = 64, max_length: int = MAX_LENGTH):
         if dim % 16:
             raise ValueError("dim must be a multiple of 16")
         self.dim = dim
         self.max_length = max_length
+        self.step_rows = max(1, 4096 // dim)  # about 16 MB of token vectors at once
 
     def prepare(self, text: Column) -> Column:
         return tokenize(text)
