@@ -1,12 +1,10 @@
 """Perplexity of documents under a character model of trusted text.
 
-The model is an interpolated modified Kneser-Ney model of order four over 64
-classes of characters. All trusted documents are counted: each task adds up its
-own four-grams, and the counts are shuffled by four-gram. Continuation counts,
-discounts and context totals come from joins and groupings of the count tables,
-sharded by n-gram. There are at most 64^4 four-grams whatever the corpus, so the
-finished table goes to every task, where the join of a document's four-grams
-with it is a lookup and no text is shuffled.
+The model is an interpolated modified Kneser-Ney model of order four over real
+characters (``character_grams``): sharded count tables of all trusted documents,
+joined with the documents' n-grams. The functions here down to ``scored`` are the
+same model over 64 classes of characters in one table; tests compare with it, no
+query uses it.
 
 A document is kept if its perplexity is at most its language's threshold: a
 quantile of the perplexities of that language's trusted documents, times a
@@ -30,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.llm import character_grams
 from marquee.llm.shipping import map_batches
 from marquee.llm.tokens import groups
 from marquee.sources.storage import scratch_path, write_table
@@ -186,12 +185,12 @@ def scored(docs: DataFrame, model: Model | None, text: str = "text", name: str =
     return docs.transform(map_batches, run, schema)
 
 
-def trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents labelled as good and not as toxic."""
+def with_trust(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Adds ``_trusted``: labelled as good and not as toxic."""
     good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select("doc_id").distinct()
-    good = write_table(good.where("doc_id is not null"), scratch_path(docs.sparkSession, "trusted"))
-    rows = docs.select("doc_id", "lang", "text")
-    return rows.join(F.broadcast(good) if good.count() <= SENT_IDS else good, "doc_id", "left_semi")
+    good = write_table(good.where("doc_id is not null").withColumn("_trusted", F.lit(True)), scratch_path(docs.sparkSession, "trusted"))
+    joined = docs.join(F.broadcast(good) if good.count() <= SENT_IDS else good, "doc_id", "left")
+    return joined.select(*[docs[c] for c in docs.columns], F.coalesce("_trusted", F.lit(False)).alias("_trusted"))
 
 
 def thresholds(trusted: DataFrame) -> DataFrame:
@@ -202,32 +201,35 @@ def thresholds(trusted: DataFrame) -> DataFrame:
     return each.select("lang", "threshold").unionByName(trusted.agg(value).select(F.lit(None).cast("string").alias("lang"), "threshold"))
 
 
-def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """All columns of ``docs`` with ``perplexity``, ``threshold`` and ``passes``."""
+def classified(docs: DataFrame, labels: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of ``docs`` with ``perplexity``, ``threshold`` and ``passes``."""
     spark = docs.sparkSession
-    trusted = trusted_rows(docs, labels)
-    model = train(count_four_grams(trusted))
-    measured = write_table(
-        scored(trusted, model).select("lang", "perplexity").where("perplexity is not null"), scratch_path(spark, "perplexities")
-    )
+    marked = with_trust(docs, labels)
+    model = character_grams.train(marked.where("_trusted"))
+    has_text = (F.coalesce(F.length("text"), F.lit(0)) > 0).alias("_has_text")
+    wanted = [F.col(f"`{c}`").alias(f"_out_{i}") for i, c in enumerate(columns)]
+    rows = character_grams.scored(marked, model, "_perplexity").select(*wanted, F.col("lang").alias("_lang"), "_trusted", has_text, "_perplexity")
+    rows = write_table(rows, scratch_path(spark, "perplexities"))  # texts are scored once
+    measured = rows.where("_trusted and _perplexity is not null").select(F.col("_lang").alias("lang"), F.col("_perplexity").alias("perplexity"))
     limits = write_table(thresholds(measured), scratch_path(spark, "thresholds"))
     general = limits.where("lang is null").first()["threshold"]
-    each = limits.where("lang is not null").withColumnRenamed("lang", "_lang")
-    rows = scored(docs, model)
-    joined = rows.join(each, F.coalesce(rows["lang"], F.lit("")) == F.col("_lang"), "left").drop("_lang")
+    each = limits.where("lang is not null")
+    joined = rows.join(each, F.coalesce("_lang", F.lit("")) == F.col("lang"), "left")
     limit = F.coalesce("threshold", F.lit(general).cast("double"))
-    has_text = F.coalesce(F.length("text"), F.lit(0)) > 0
-    return joined.withColumn("threshold", limit).withColumn(
-        "passes", has_text & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
+    passes = F.col("_has_text") & F.coalesce(F.col("_perplexity") <= limit, F.lit(True))
+    return joined.select(
+        *[F.col(f"_out_{i}") for i in range(len(columns))],
+        F.col("_perplexity").alias("perplexity"), limit.alias("threshold"), passes.alias("passes"),
     )
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``lang``, ``perplexity``, ``threshold`` and ``kept`` of each row."""
-    rows = classified(docs.select("doc_id", "lang", "text"), labels)
-    return rows.select("doc_id", "lang", "perplexity", "threshold", F.col("passes").alias("kept"))
+    rows = classified(docs.select("doc_id", "lang", "text"), labels, ["doc_id", "lang"])
+    return rows.select(F.col("_out_0").alias("doc_id"), F.col("_out_1").alias("lang"), "perplexity", "threshold", F.col("passes").alias("kept"))
 
 
 def kept_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The input rows that pass, with all their columns."""
-    return classified(docs, labels).where("passes").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = classified(docs, labels, docs.columns).where("passes")
+    return rows.select(*[F.col(f"_out_{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -130,3 +130,65 @@ def test_without_trusted_text_all_texts_stay(spark, docs, no_docs):
     got = kn.judged(docs.select("doc_id", "text", "lang"), none).collect()
     assert all(r["perplexity"] is None for r in got) and sum(r["kept"] for r in got) == docs.where("length(text) > 0").count()
     assert kn.judged(no_docs, none).isEmpty()
+
+
+def exact_perplexity(texts):
+    """Interpolated modified Kneser-Ney of order four over characters, by dictionaries."""
+    from collections import Counter, defaultdict
+
+    lead = [None] * 3
+    levels = [Counter(tuple(c[i - 3 : i + 1]) for t in texts for c in [lead + list(t)] for i in range(3, len(c)))]
+    for _ in range(3):
+        levels.insert(0, Counter(g[1:] for g in levels[0]))
+    steps = []
+    for level in levels:
+        n1, n2, n3, n4 = (sum(v == k for v in level.values()) for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 else 0.5
+        raw = (1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5)
+        d = [min(max(v, 0.05), k - 0.05) for k, v in enumerate(raw, 1)]
+        total, left = Counter(), defaultdict(float)
+        for g, v in level.items():
+            total[g[:-1]] += v
+            left[g[:-1]] += d[min(v, 3) - 1]
+        steps.append((level, d, total, left))
+
+    def p(gram):
+        value = 1 / 0x110000
+        for order, (level, d, total, left) in enumerate(steps, 1):
+            g = gram[4 - order :]
+            if total[g[:-1]]:
+                v = level[g]
+                value = ((v - d[min(v, 3) - 1]) if v else 0) / total[g[:-1]] + left[g[:-1]] / total[g[:-1]] * value
+        return value
+
+    def perplexity(t):
+        c = lead + list(t)
+        return math.exp(-sum(math.log(p(tuple(c[i - 3 : i + 1]))) for i in range(3, len(c))) / len(t))
+
+    return perplexity
+
+
+def test_real_characters_equal_brute_force(spark):
+    from marquee.llm import character_grams as cg
+
+    rng = random.Random(6)
+    texts = [sentence(rng, rng.randint(1, 60)) for _ in range(30)] + ["Été, 12 – (x)\n", "日本語 𝒳", "слово Λόγος\0"]
+    other = ["zzz qqq", "the inn", "ünß 99", "本日", "волос", "x"]
+    table = lambda rows: spark.createDataFrame([(t,) for t in rows], "text string").repartition(3)
+    model = cg.train(table(texts))
+    got = cg.scored(table([*texts, *other, "", None]), model, block_chars=900).collect()
+    assert len(got) == len(texts) + len(other) + 2
+    brute = exact_perplexity(texts)
+    for r in got:
+        assert r["perplexity"] == (pytest.approx(brute(r["text"]), rel=1e-5) if r["text"] else None)
+
+
+def test_junk_of_another_script_is_told_apart(spark):
+    rng = random.Random(7)
+    words = ["слово", "книга", "читать", "город", "вечером", "дорога", "письмо"]
+    good = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(260)]
+    junk = ["".join(rng.choice("абвгдежзийклмнопрстуфхцчшщыэюя") for _ in range(300)) for _ in range(20)]
+    docs = spark.createDataFrame([(i, t, "ru") for i, t in enumerate(good + junk)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(220)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["kept"] for r in kn.judged(docs, labels).collect()}
+    assert sum(got[i] for i in range(220, 260)) >= 38 and not any(got[i] for i in range(260, 280))
