@@ -8,7 +8,7 @@ query uses it.
 
 A document is kept if its perplexity is at most its language's threshold: a
 quantile of the perplexities of that language's trusted documents, times a
-margin. Languages with few trusted documents use the quantile of all.
+margin. Languages without any trusted document use the quantile of all.
 
 Defined cases: null and empty texts have no perplexity and are not kept; a null
 language is a language of its own; ids that are null or unlabelled are scored as
@@ -38,7 +38,6 @@ CLASSES = 64
 START, SPACE_CLASS = 0, 1
 QUANTILE = 0.995
 MARGIN = 1.05
-LEAST_TRUSTED = 200
 #: Ids of trusted documents up to this number (16 MB) are sent to every task, more are joined by a shuffle.
 SENT_IDS = 1_000_000
 
@@ -197,8 +196,8 @@ def thresholds(trusted: DataFrame) -> DataFrame:
     """``lang`` ('' for none) and ``threshold``; the row with ``lang`` null is for all others."""
     lang = F.coalesce("lang", F.lit(""))
     value = (F.percentile_approx("perplexity", QUANTILE, 10_000) * MARGIN).alias("threshold")
-    each = trusted.groupBy(lang.alias("lang")).agg(value, F.count("perplexity").alias("n")).where(F.col("n") >= LEAST_TRUSTED)
-    return each.select("lang", "threshold").unionByName(trusted.agg(value).select(F.lit(None).cast("string").alias("lang"), "threshold"))
+    each = trusted.groupBy(lang.alias("lang")).agg(value)
+    return each.unionByName(trusted.agg(value).select(F.lit(None).cast("string").alias("lang"), "threshold"))
 
 
 def classified(docs: DataFrame, labels: DataFrame, columns: list[str]) -> DataFrame:

@@ -192,3 +192,10 @@ def test_junk_of_another_script_is_told_apart(spark):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(220)], "doc_id long, quality int, toxic int")
     got = {r["doc_id"]: r["kept"] for r in kn.judged(docs, labels).collect()}
     assert sum(got[i] for i in range(220, 260)) >= 38 and not any(got[i] for i in range(260, 280))
+
+
+def test_small_languages_have_quantiles_of_their_own(spark):
+    rows = [("en", 5.0 + i / 1000) for i in range(400)] + [("fr", 9.0), ("fr", 8.0), (None, 3.0)]
+    got = {r["lang"]: r["threshold"] for r in kn.thresholds(spark.createDataFrame(rows, "lang string, perplexity double")).collect()}
+    assert got["fr"] == pytest.approx(9 * kn.MARGIN) and got[""] == pytest.approx(3 * kn.MARGIN)
+    assert got["en"] < 5.5 * kn.MARGIN and set(got) == {"en", "fr", "", None}
