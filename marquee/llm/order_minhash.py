@@ -18,9 +18,9 @@ spanning forest of the links leaves the task, never pairs.
 
 Equal texts are one node with a count from the beginning.
 
-Defined cases: null text counts as empty; texts under five words are one k-mer,
-so they are linked only if their words are equal (compared as whole texts, case
-and white space included); rows with equal ids are documents of their own in
+Defined cases: null text counts as empty; texts of one to five words are one
+k-mer, which is their key: they are linked if their words are equal; texts
+without words have no k-mer and are linked only if they are equal; rows with equal ids are documents of their own in
 counts; the class of documents without ids is null unless linked to one with an
 id; an empty table gives an empty result; ``kept_rows`` keeps one row of a class
 whatever repeats, with all its columns.
@@ -117,12 +117,15 @@ def sketches(mers: np.ndarray, seeds: np.ndarray, taken: int) -> np.ndarray:
     return result
 
 
+_single = np.uint64(0x9E3779B97F4A7C15)
 _seeds = mixed(np.arange(1, SKETCHES + SHORT_SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def keys_of(text: str) -> np.ndarray:
-    """All sketches of a text; none if it has no two k-mers to put in order."""
+    """All sketches of a text; its k-mer if it has only one, and none without words."""
     mers = labelled(k_mers(text))
+    if len(mers) == 1:
+        return mixed(mers ^ _single) if text.split() else mers[:0]
     found = []
     if len(mers) >= LONG_LEAST:
         found.append(sketches(mers, _seeds[:SKETCHES], TAKEN))

@@ -217,3 +217,12 @@ def test_deep_shallow_order():
         order, prefix = sort(strings, rng.choice([0, 8, 16, 96]))
         assert [strings[i] for i in order] == sorted(strings) and sorted(order) == list(range(len(strings)))
         assert prefix == [0] + [common_prefix(strings[a], strings[b]) for a, b in zip(order, order[1:])]
+
+
+def test_texts_of_one_k_mer(spark):
+    texts = ["One two three", "one  TWO three", "one two three four", "one two", "A b c d e", "a b\nc d E", "a b c d e", "e d c b a", "Of.", "of.", "", " ", None, "one two three"]
+    rows = list(enumerate(texts))
+    words = [tuple((t or "").lower().split()) or (t or "") for t in texts]  # texts without words are compared as they are
+    expected = {i: (words.index(w), words.count(w), words.index(w) == i) for i, w in enumerate(words)}
+    got = om.judged(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"]: (r["class_id"], r["class_size"], r["kept"]) for r in got} == expected
