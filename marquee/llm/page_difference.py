@@ -1,29 +1,30 @@
 """Main text of web pages by differencing pages that lie next to each other.
 
 Pages of one host are put in the order of their URL paths and each is compared
-with its neighbour: text lines that both have, aligned by longest common
-subsequence, are the site's furniture and are deleted. What is never text
+with its nearest neighbours, two on each side: lines that two of them have, aligned
+by longest common subsequence, are the site's furniture and are deleted (on hosts
+of two pages, lines that the other has). What is never text
 (scripts, styles, comments in the markup) is no line at all. An exact check by
 the page's own structure follows: lines inside elements that name themselves
 furniture (navigation, header, footer, sidebar, notices, adverts, forms, reader
 comments) go even where no neighbour has them, and where a page marks its main
 part only lines of that part stay.
 
-Deleting what two pages share has two limits, or it would delete articles. Pages
-that carry the same article share most of it: a page of which half or more, by
-characters and without furniture, is shared keeps its lines. And articles quote
-the same passages: paragraphs, headings, list items and cells inside a marked
-main part stay although they are shared; other lines there go.
+Deleting what pages share has two limits, or it would delete articles. A line that
+only one neighbour has stays, as a copied article does; and where nothing would be
+left of a page, only lines of more neighbours go, so that the article of several
+copies stays and the menu around them goes. If all neighbours are copies, all lines
+stay. And articles quote the same passages: paragraphs, headings, list items and
+cells inside a marked main part stay although they are shared; other lines there go.
 
 Hosts of any size: the pages of a host with many pages are dealt into buckets of
 about ``BUCKET_PAGES`` by the hash of their path, so that no host is one task; a
-page's neighbour is the nearest URL of its bucket. A task holds two pages at a
+page's neighbours are the nearest URLs of its bucket. A task holds five pages at a
 time.
 
 Defined cases: null html counts as empty and gives an empty text; pages with a
 null URL, or without a host, are only compared with each other; a page that is
-alone is taken as it is; of repeated rows each is a neighbour of the other, and
-by the rule above they keep their text; null page ids are carried through;
+alone is taken as it is; of repeated rows each is a neighbour of the other; null page ids are carried through;
 further columns of the input are left out.
 """
 
@@ -31,7 +32,9 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,6 +45,8 @@ from marquee.llm.url_model import with_host_path
 from marquee.sources.storage import scratch_path, write_table
 
 BUCKET_PAGES = 256
+#: Neighbours on each side.
+REACH = 2
 #: Hosts with many pages up to this number (about 50 MB) are sent to every task, more are joined by a shuffle.
 SENT_HOSTS = 500_000
 SCHEMA = "page_id long, url string, text string, n_chars long"
@@ -197,11 +202,16 @@ def _lcs(a: list[str], b: list[str]) -> list[int]:
     return places[::-1]
 
 
-def main_text(lines: list[tuple[str, int]], neighbour: list[tuple[str, int]] | None) -> str:
-    """The page's text without what it shares with its neighbour and without furniture."""
-    shared = common_lines([text for text, _ in lines], [text for text, _ in neighbour]) if neighbour else set()
-    weight = lambda places: sum(len(lines[i][0]) for i in places if lines[i][1] != FURNISHED)
-    if 2 * weight(shared) >= weight(range(len(lines))):
+def main_text(lines: list[tuple[str, int]], neighbours: list[list[tuple[str, int]]] | None) -> str:
+    """The page's text without what its neighbours have too and without furniture."""
+    neighbours = neighbours or []
+    held = Counter(i for other in neighbours for i in common_lines([text for text, _ in lines], [text for text, _ in other]))
+    own = range(min(2, len(neighbours)), len(neighbours) + 1)
+    for need in own if neighbours else ():
+        shared = {i for i, n in held.items() if n >= need}
+        if any(kind != FURNISHED and i not in shared for i, (_, kind) in enumerate(lines)):
+            break
+    else:
         shared = set()
     left = [(text, kind) for i, (text, kind) in enumerate(lines) if kind == TEXT or kind != FURNISHED and i not in shared]
     marked = any(kind in (TEXT, LOOSE) for _, kind in left)
@@ -224,27 +234,51 @@ def extract(pages: DataFrame, bucket_pages: int = BUCKET_PAGES) -> DataFrame:
     ready = (
         dealt.select("page_id", "url", "html", "host", "_bucket", "path")
         .repartition("host", "_bucket").sortWithinPartitions(*order)
-        .select("page_id", "url", "html", "host", "_bucket")
+        .select("page_id", "url", "html", "host", F.col("_bucket").alias("_part"), F.lit(True).alias("_own"))
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near: list[_Page] = []  # pages of one part and host: two that are done, and those that wait for two more
         done: list[tuple[int, str, str]] = []
-        group = before = held = None  # held: the page whose neighbour is the next one
+        first = group = None  # first: place in ``near`` of the first page that waits
+
+        def finish(waiting: int) -> None:
+            nonlocal first
+            while first < len(near) - waiting:
+                page = near[first]
+                if page.own:
+                    others = near[max(first - REACH, 0) : first] + near[first + 1 : first + 1 + REACH]
+                    done.append((page.page_id, page.url, main_text(page.lines, [o.lines for o in others])))
+                first += 1
+            del near[: max(first - REACH, 0)]
+            first = min(first, REACH)
+
+        first = 0
         for batch in batches:
-            for page_id, url, page, host, bucket in zip(*(c.to_pylist() for c in batch.columns)):
-                lines = page_lines(page or "")
-                if held:
-                    done.append((*held[:2], main_text(held[2], lines if group == (host, bucket) else before)))
-                before = held[2] if held and group == (host, bucket) else None
-                group, held = (host, bucket), (page_id, url, lines)
+            for page_id, url, page, host, part, own in zip(*(c.to_pylist() for c in batch.columns)):
+                if group != (host, part):
+                    finish(0)
+                    near.clear()
+                    first, group = 0, (host, part)
+                near.append(_Page(page_id, url, page or "", own))
+                finish(REACH)
             yield _texts(done)
-            done = []
-        if held:
-            yield _texts([(*held[:2], main_text(held[2], before))])
+            done.clear()
+        finish(0)
+        yield _texts(done)
 
     return ready.transform(map_batches, run, SCHEMA)
 
 
+class _Page:
+    def __init__(self, page_id: int, url: str, page: str, own: bool):
+        self.page_id, self.url, self.page, self.own = page_id, url, page, own
+
+    @cached_property
+    def lines(self) -> list[tuple[str, int]]:
+        return page_lines(self.page)
+
+
 def _texts(rows: list[tuple[int, str, str]]) -> pa.RecordBatch:
     ids, urls, texts = zip(*rows) if rows else ((), (), ())
     columns = [pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())]

@@ -111,3 +111,11 @@ def test_hot_host_and_nulls(spark):
     assert len(got) == 63 and all(r["n_chars"] == len(r["text"]) for r in got)
     assert {r["text"] for r in got if r["page_id"] is not None and r["page_id"] < 60} == {f"{('Body %d text ' % i * 5).strip()}" for i in range(60)}
     assert pd_.extract(df.limit(0)).isEmpty()
+
+
+def test_short_articles_and_long_menus(spark):
+    menu = [f"Section {k} of this long menu" for k in range(30)]
+    rows = [(i, f"https://h.com/{i}", page(*menu, f"Short {i}.", "Imprint")) for i in range(6)]
+    rows += [(10 + i, f"https://copy.com/{i}", page(*menu, f"Short {min(i, 3)}.", "Imprint")) for i in range(5)]  # the last two are copies
+    got = {r["page_id"]: r["text"] for r in pd_.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Short {i}." for i in range(6)} | {10 + i: f"Short {min(i, 3)}." for i in range(5)}
