@@ -17,10 +17,10 @@ copies stays and the menu around them goes. If all neighbours are copies, all li
 stay. And articles quote the same passages: paragraphs, headings, list items and
 cells inside a marked main part stay although they are shared; other lines there go.
 
-Hosts of any size: the pages of a host with many pages are dealt into buckets of
-about ``BUCKET_PAGES`` by the hash of their path, so that no host is one task; a
-page's neighbours are the nearest URLs of its bucket. A task holds five pages at a
-time.
+Hosts of any size: all pages are dealt into ranges of one order (host, path, URL,
+page id, content), whose bounds come from a sample. Pages near a bound are in both
+ranges, where they serve as neighbours, so the ranges change no result and no host
+is one task. A task holds five pages at a time.
 
 Defined cases: null html counts as empty and gives an empty text; pages with a
 null URL, or without a host, are only compared with each other; a page that is
@@ -42,13 +42,13 @@ from pyspark.sql import functions as F
 
 from marquee.llm.shipping import map_batches
 from marquee.llm.url_model import with_host_path
-from marquee.sources.storage import scratch_path, write_table
 
+#: Pages that are worth a part of their own.
 BUCKET_PAGES = 256
 #: Neighbours on each side.
 REACH = 2
-#: Hosts with many pages up to this number (about 50 MB) are sent to every task, more are joined by a shuffle.
-SENT_HOSTS = 500_000
+#: Parts for each shuffle partition, at most, and pages of the sample for each part.
+PARTS_PER_PARTITION, SAMPLED = 4, 64
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 # Elements that are furniture by their name.
@@ -218,23 +218,58 @@ def main_text(lines: list[tuple[str, int]], neighbours: list[list[tuple[str, int
     return " ".join(text for text, kind in left if not marked or kind != PLAIN)
 
 
-def extract(pages: DataFrame, bucket_pages: int = BUCKET_PAGES) -> DataFrame:
-    """``page_id``, ``url``, ``text`` and ``n_chars`` of each page."""
+def with_key(pages: DataFrame) -> DataFrame:
+    """``page_id``, ``url``, ``html``, ``host`` and ``_key``, by which all pages are in one order."""
     rows = with_host_path(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"))
-    many = write_table(
-        rows.select("host").groupBy("host").count().where(F.col("count") > bucket_pages)
-        .select("host", F.ceil(F.col("count") / bucket_pages).cast("int").alias("_buckets")),
-        scratch_path(pages.sparkSession, "hosts"),
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    key = F.concat_ws("\0", "host", "path", text("url"), F.lpad(text("page_id"), 20, "0"), F.hex(F.xxhash64("html")))
+    return rows.select("page_id", "url", "html", "host", key.alias("_key"))
+
+
+def bounds(rows: DataFrame, bucket_pages: int) -> list[tuple[str, str | None, str | None]]:
+    """First keys of all parts but the first, each with a key that at least two
+    pages before it reach and one that it and at least one page after it reach
+    (None: all do). All three are keys of a sample of pages."""
+    n = rows.count()
+    parts = min(-(-n // bucket_pages), PARTS_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if parts < 2:
+        return []
+    share = SAMPLED * parts / n
+    sample = rows.select("_key") if share >= 0.5 else rows.select("_key").sample(share, 1)
+    keys = sorted({r["_key"] for r in sample.collect()})
+    parts = min(parts, len(keys) // 3)
+    at = [k * len(keys) // parts for k in range(1, parts)]
+    return [(keys[i], keys[i - 2] if i > 1 else None, keys[i + 1] if i + 1 < len(keys) else None) for i in at]
+
+
+def dealt(rows: DataFrame, found: list[tuple[str, str | None, str | None]]) -> DataFrame:
+    """Adds ``_part`` and ``_own``: pages near a bound are in the next part, too, as its neighbours."""
+    if not found:
+        return rows.select("*", F.lit(0).alias("_part"), F.lit(True).alias("_own"))
+    firsts, froms, untils = (F.lit([x[k] for x in found]) for k in range(3))
+    key, n = F.col("_key"), len(found)
+    # Binary search for the number of bounds up to the key.
+    span = F.aggregate(
+        F.sequence(F.lit(1), F.lit(n.bit_length())), F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi")),
+        lambda s, _: F.when(s["lo"] >= s["hi"], s)
+        .when(F.get(firsts, F.floor((s["lo"] + s["hi"]) / 2).cast("int")) <= key, F.struct((F.floor((s["lo"] + s["hi"]) / 2) + 1).cast("int").alias("lo"), s["hi"].alias("hi")))
+        .otherwise(F.struct(s["lo"].alias("lo"), F.floor((s["lo"] + s["hi"]) / 2).cast("int").alias("hi"))),
     )
-    # Pages should move once: the join with few hosts goes without a shuffle.
-    dealt = rows.join(F.broadcast(many) if many.count() <= SENT_HOSTS else many, "host", "left").withColumn(
-        "_bucket", F.pmod(F.xxhash64("path"), F.coalesce("_buckets", F.lit(1))).cast("int")
-    )
-    order = ["host", "_bucket", "path", "url", "page_id"]
+    placed = rows.withColumn("_p", span["lo"])
+    p = F.col("_p")
+    place = lambda part, own: F.struct(part.alias("_part"), F.lit(own).alias("_own"))
+    before = (p > 0) & F.coalesce(key <= F.get(untils, p - 1), F.lit(True))
+    after = (p < n) & F.coalesce(key >= F.get(froms, p), F.lit(True))
+    places = F.array(place(p, True), F.when(before, place(p - 1, False)), F.when(after, place(p + 1, False)))
+    return placed.select(*rows.columns, F.inline(F.filter(places, lambda x: x.isNotNull())))
+
+
+def extract(pages: DataFrame, bucket_pages: int = BUCKET_PAGES) -> DataFrame:
+    """``page_id``, ``url``, ``text`` and ``n_chars`` of each page."""
+    rows = with_key(pages)
     ready = (
-        dealt.select("page_id", "url", "html", "host", "_bucket", "path")
-        .repartition("host", "_bucket").sortWithinPartitions(*order)
-        .select("page_id", "url", "html", "host", F.col("_bucket").alias("_part"), F.lit(True).alias("_own"))
+        dealt(rows, bounds(rows, bucket_pages)).repartition("_part").sortWithinPartitions("_part", "_key")
+        .select("page_id", "url", "html", "host", "_part", "_own")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

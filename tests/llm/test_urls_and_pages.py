@@ -119,3 +119,19 @@ def test_short_articles_and_long_menus(spark):
     rows += [(10 + i, f"https://copy.com/{i}", page(*menu, f"Short {min(i, 3)}.", "Imprint")) for i in range(5)]  # the last two are copies
     got = {r["page_id"]: r["text"] for r in pd_.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {i: f"Short {i}." for i in range(6)} | {10 + i: f"Short {min(i, 3)}." for i in range(5)}
+
+
+def test_neighbours_at_any_host_size(spark):
+    # Each section has furniture of its own; one URL may have many pages, and many pages have none.
+    rows = [(i, f"https://hot.com/s{i // 5:03}/p?{i}", page("Menu", f"Section {i // 5}", f"Body {i}")) for i in range(100)]
+    rows += [(200 + i, None, page("Menu", f"Orphan {i}")) for i in range(60)] + [(300 + i, "https://one.com/a", page("Top", f"Same URL {i}")) for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    texts = lambda n: sorted((r["page_id"], r["text"]) for r in pd_.extract(df, bucket_pages=n).collect())
+    got = texts(20)
+    assert got == sorted(
+        [(i, f"Body {i}") for i in range(100)] + [(200 + i, f"Orphan {i}") for i in range(60)] + [(300 + i, f"Same URL {i}") for i in range(40)]
+    )
+    keyed = pd_.with_key(df)
+    counts = pd_.dealt(keyed, pd_.bounds(keyed, 20)).where("_own").groupBy("_part").count().collect()
+    assert len(counts) >= 10 and max(r["count"] for r in counts) <= 40
+    assert sum(r["count"] for r in counts) == 200 and texts(1000) == got
