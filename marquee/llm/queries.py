@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import cap_filters, id_files, kneser_ney, order_minhash, packing, page_difference, prefix_bpe, repeated_bytes, rule_ledger, url_model
+from marquee.llm import cap_filters, decontamination, id_files, kneser_ney, order_minhash, packing, page_difference, prefix_bpe, repeated_bytes, rule_ledger, url_model
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,10 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ledger.judged(table(spark, sf_dir, "documents"))
 
 
+def op13_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_url_model": op1_url_model,
     "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
@@ -62,6 +66,7 @@ QUERIES = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_deep_shallow": op9_deep_shallow,
     "op10_rule_ledger": op10_rule_ledger,
+    "op13_aho_corasick": op13_aho_corasick,
 }
 
 ORACLES = {
@@ -125,5 +130,39 @@ f as (
   from m
 )
 select *, failures & 3 != 0 as base_failed, failures = 0 as kept from f
+""",
+    "op13_aho_corasick": r"""
+with d as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+),
+b as (
+  select item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark
+),
+win as (
+  select distinct item_id, case when len(w) >= 10 then w[i:i + 9] else w end as win
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) as i from b where len(w) > 0)
+),
+ks as (select distinct len(win) as k from win),
+g as (
+  select r, k, p, w[p:p + k - 1] as gram
+  from (select r, k, w, unnest(range(1, len(w) - k + 2)) as p from d join ks on len(d.w) >= ks.k)
+),
+m as (select g.r, g.p, g.k, win.item_id from g join win on win.win = g.gram),
+h as (
+  select r, count(distinct pos) as n
+  from (select r, p + unnest(range(0, k)) as pos from (select distinct r, p, k from m))
+  group by r
+),
+i as (
+  select r, count(distinct item_id) as n, array_to_string(list_sort(list_distinct(list(item_id::varchar))), ',') as ids
+  from m where item_id is not null group by r
+)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(h.n, 0)::bigint as n_hit, coalesce(i.n, 0)::bigint as n_items,
+  sha256(coalesce(i.ids, '')) as items_sha256, coalesce(h.n, 0) > 0 as contaminated
+from d left join h using (r) left join i using (r)
 """,
 }
