@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import cap_filters, decontamination, id_files, kneser_ney, order_minhash, packing, page_difference, prefix_bpe, repeated_bytes, rule_ledger, url_model
+from marquee.llm import cap_filters, decontamination, id_files, prefix_trie, kneser_ney, order_minhash, packing, page_difference, prefix_bpe, repeated_bytes, rule_ledger, url_model
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,10 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ledger.judged(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_report(table(spark, sf_dir, "conversations"))
+
+
 def op13_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -66,6 +70,7 @@ QUERIES = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_deep_shallow": op9_deep_shallow,
     "op10_rule_ledger": op10_rule_ledger,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_aho_corasick": op13_aho_corasick,
 }
 
@@ -164,5 +169,47 @@ i as (
 select d.doc_id, len(d.w)::bigint as n_words, coalesce(h.n, 0)::bigint as n_hit, coalesce(i.n, 0)::bigint as n_items,
   sha256(coalesce(i.ids, '')) as items_sha256, coalesce(h.n, 0) > 0 as contaminated
 from d left join h using (r) left join i using (r)
+""",
+    "op12_prefix_trie": """
+with o as (
+  select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as pos
+  from conversations where conv_id is not null
+),
+l as (select c, count(*) as own_len from o group by c),
+ids as (
+  select c, c - c % 100 as b,
+    xor(list_reduce(list_concat([4294967295::bigint], flatten(list_transform(str_split(c::varchar, ''), lambda x: [ascii(x)::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda crc, e: xor(xor(crc, e) >> 1, 3988292384 & -(xor(crc, e) & 1))), 4294967295) % 6 as h
+  from l
+),
+t as (
+  select ids.c, 0 as part, o.pos, o.role, o.text from ids join o on o.c = ids.b and o.pos < ids.h
+  union all
+  select o.c, 1 as part, o.pos, o.role, o.text from o join ids using (c) where o.pos >= ids.h
+),
+p as (select c, list({'r': role, 't': text} order by part, pos) as turns from t group by c),
+conv as (select ids.c, p.turns from ids left join p using (c)),
+m as (
+  select c, d, coalesce(turns[1:d], []) as prefix, coalesce(len(turns), 0) = d as is_end
+  from (select c, turns, unnest(range(0, coalesce(len(turns), 0) + 1)) as d from conv)
+),
+n as (
+  select prefix, any_value(d) as depth, any_value(prefix[1:d - 1]) as parent_prefix, min(c) as conv_id, count(*) as n_convs,
+    coalesce(array_to_string(list_sort(list(c) filter (where is_end)), ','), '') as ends,
+    coalesce(length(any_value(prefix[d].t)), 0) as last_len
+  from m group by prefix
+),
+ch as (select parent_prefix as prefix, count(*) as k from n where depth > 0 group by parent_prefix),
+v as (select n.*, coalesce(ch.k, 0) as n_children from n left join ch using (prefix)),
+sub as (
+  select a.prefix, sum(case when b.n_children = 0 then 1 else 0 end) as n_leaves, sum((b.n_convs - 1) * b.last_len) as saved
+  from v as a join v as b on b.depth >= a.depth and b.prefix[1:a.depth] = a.prefix
+  group by a.prefix
+)
+select v.conv_id::bigint as conv_id, v.depth::bigint as depth, case when v.depth > 0 then par.conv_id end::bigint as parent_conv_id,
+  v.n_convs::bigint as n_convs, v.n_children::bigint as n_children, sub.n_leaves::bigint as n_leaves, sub.saved::bigint as saved_tokens,
+  sha256(v.ends) as ends_sha256
+from v join sub using (prefix) left join v as par on par.prefix = v.parent_prefix and v.depth > 0
 """,
 }
