@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import cap_filters, decontamination, id_files, prefix_trie, kneser_ney, order_minhash, packing, page_difference, prefix_bpe, repeated_bytes, rule_ledger, url_model
+from marquee.llm import cap_filters, decontamination, id_files, prefix_trie, whitening, kneser_ney, order_minhash, packing, page_difference, prefix_bpe, repeated_bytes, rule_ledger, url_model
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,10 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ledger.judged(table(spark, sf_dir, "documents"))
 
 
+def op11_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie_report(table(spark, sf_dir, "conversations"))
 
