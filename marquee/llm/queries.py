@@ -74,6 +74,7 @@ QUERIES = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_deep_shallow": op9_deep_shallow,
     "op10_rule_ledger": op10_rule_ledger,
+    "op11_block_whitening": op11_block_whitening,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_aho_corasick": op13_aho_corasick,
 }
