@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.functions.scoring import saturation
 from marquee.functions.text import tokenize
 
 TEXT_FIELDS = ("name", "cast", "director", "genre", "plot", "certificate")
@@ -116,6 +118,28 @@ def term_stats(posting_rows: DataFrame) -> DataFrame:
     )
 
 
+def range_bits_for(n_docs: int) -> int:
+    """Bits of a document range: about the square root of the documents in a
+    range, between 2^6 and 2^16, so that a range is worth skipping and the table
+    of ranges stays far smaller than the postings."""
+    return max(6, min(16, math.ceil(math.log2(max(n_docs, 1)) / 2)))
+
+
+def range_stats(posting_rows: DataFrame, bits: int, average: dict[str, float]) -> DataFrame:
+    """Per field, term and range of ``2^bits`` consecutive document ids: the
+    documents that have the term, the largest ``tf`` and smallest ``dl`` among
+    them, which bound every score the term gives there under any ``k1`` and
+    ``b``, and ``max_part``, the largest term part of BM25 with the default
+    ones (``average`` is each field's mean length)."""
+    mean = F.element_at(F.create_map(*[x for f, a in average.items() for x in (F.lit(f), F.lit(float(a)))]), F.col("field"))
+    return posting_rows.groupBy("field", "term", F.call_function("shiftright", F.col("doc_id"), F.lit(bits)).alias("doc_range")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("tf").alias("max_tf"),
+        F.min("dl").alias("min_dl"),
+        F.max(saturation(F.col("tf"), F.col("dl"), mean)).alias("max_part"),
+    )
+
+
 def doc_lengths(docs: DataFrame) -> DataFrame:
     """(field, doc_id, dl); a document without tokens in a field has no row."""
     entries = [

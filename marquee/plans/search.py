@@ -13,6 +13,7 @@ from marquee.operators.batch import batch_top_k
 from marquee.operators.clauses import Clause, Range, Term
 from marquee.operators.dense import inner_product_top_k
 from marquee.operators.matching import match
+from marquee.operators.pruned import pruned_top_k
 from marquee.operators.topk import fetch, fetch_known, hit_records, top_k
 from marquee.sources.catalog import read_catalog
 from marquee.sources.index_tables import LexicalIndex, open_index
@@ -29,7 +30,10 @@ MAX_KNOWN_HITS = 1000
 
 def lexical_hits(index: LexicalIndex, clause: Clause, k: int = DEFAULT_K, decimals: int = SCORE_DECIMALS) -> DataFrame:
     """Ranked hits of a clause with their stored fields."""
-    hits = top_k(match(index, clause), k, decimals)
+    if isinstance(clause, Term) and k <= MAX_KNOWN_HITS:
+        hits = pruned_top_k(index, clause, k, decimals)  # reads only ranges that can reach the k best
+    else:
+        hits = top_k(match(index, clause), k, decimals)
     return fetch_known(hits, index.stored) if k <= MAX_KNOWN_HITS else fetch(hits, index.stored)
 
 

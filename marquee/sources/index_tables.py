@@ -4,7 +4,8 @@
 ``points``    the numbers of each document alone, for numeric clauses
 ``postings``  in folders by field and term bucket, sorted by term then document
 ``terms``     document frequencies, same folders
-``fields``    one row per text field: counts, mean length, bucket number
+``ranges``    per term and range of consecutive document ids: bounds of its scores
+``fields``    one row per text field: counts, mean length, bucket number, range bits
 
 A build writes them into a folder of its own and adds that folder's name to the
 table ``versions`` last, so a build that fails leaves the index as it was, and
@@ -45,7 +46,8 @@ POSTINGS_SCHEMA = (
 TERMS_SCHEMA = "term string, df long, max_tf int, min_dl int, field string, term_bucket int"
 POINTS_SCHEMA = "doc_id long, " + ", ".join(f"`{c}` {_STORED_TYPES[c]}" for c in P.NUMERIC_FIELDS)
 VERSIONS_SCHEMA = "version string, built_at long"
-FIELDS_SCHEMA = "field string, n_docs long, avg_len double, buckets int"
+RANGES_SCHEMA = "term string, doc_range long, n long, max_tf int, min_dl int, max_part double, field string, term_bucket int"
+FIELDS_SCHEMA = "field string, n_docs long, avg_len double, buckets int, range_bits int"
 
 
 @dataclass(frozen=True)
@@ -56,6 +58,8 @@ class LexicalIndex:
     terms: DataFrame
     fields: dict[str, tuple[int, float]]
     buckets: int
+    ranges: DataFrame | None = None
+    range_bits: int = 0
     k1: float = scoring.K1
     b: float = scoring.B
     norms: str = "exact"
@@ -92,7 +96,11 @@ def write_index(analyzed: DataFrame, path: str) -> None:
     write_sorted(
         P.term_stats(written).withColumn("term_bucket", bucket), f"{path}/terms", folders, ["term"]
     )
-    fields = P.field_stats(docs).withColumn("buckets", F.lit(buckets))
+    bits = P.range_bits_for(n_docs)
+    write_sorted(
+        P.range_stats(written, bits, {r['field']: r['avg_len'] for r in stats}).withColumn("term_bucket", bucket), f"{path}/ranges", folders, ["term", "doc_range"]
+    )
+    fields = P.field_stats(docs).withColumns({"buckets": F.lit(buckets), "range_bits": F.lit(bits)})
     fields.coalesce(1).write.mode("overwrite").parquet(f"{path}/fields")
     # One row per build; the last one counts.
     added = spark.createDataFrame([(version, time.time_ns())], VERSIONS_SCHEMA)
@@ -109,6 +117,8 @@ def open_index(spark: SparkSession, path: str, **settings) -> LexicalIndex:
         points=spark.read.schema(POINTS_SCHEMA).parquet(f"{path}/points"),
         postings=spark.read.schema(POSTINGS_SCHEMA).parquet(f"{path}/postings"),
         terms=spark.read.schema(TERMS_SCHEMA).parquet(f"{path}/terms"),
+        ranges=spark.read.schema(RANGES_SCHEMA).parquet(f"{path}/ranges"),
+        range_bits=max((r["range_bits"] for r in stats), default=0),
         fields={r["field"]: (r["n_docs"], r["avg_len"]) for r in stats},
         buckets=max((r["buckets"] for r in stats), default=1),
         **settings,
