@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -118,20 +118,58 @@ def _scan_with_vectors(queries: DataFrame, ids, vectors, k: int, decimals: int)
     return queries.select("qid", "embedding").mapInPandas(score, _FOUND)
 
 
-def _scan_by_blocks(vectors: DataFrame, queries: DataFrame, k: int, decimals: int, block: int) -> DataFrame:
-    """One pass over the vectors per block of queries. The queries are written
-    first, so that they are not encoded anew for every block."""
+def _pair_scores(key, queries: pd.DataFrame, vectors: pd.DataFrame, k: int, decimals: int) -> pd.DataFrame:
+    """One block of queries against one batch of vectors: k best per query."""
+    if queries.empty or vectors.empty:
+        return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "doc_id": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
+    qids = queries["qid"].to_numpy()
+    block = _matrix(queries["embedding"])
+    best = _Best(len(qids), k, decimals)
+    for start in range(0, len(vectors), _CHUNK):
+        part = vectors.iloc[start : start + _CHUNK]
+        best.add(part["doc_id"].to_numpy(), _products(_matrix(part["embedding"]), block))
+    return best.rows(qids)
+
+
+def blocked_top_k(
+    vectors: DataFrame, queries: DataFrame, k: int = 5, decimals: int = SCORE_DECIMALS,
+    query_block: int = BLOCK_VECTORS, vector_batch: int = BLOCK_VECTORS,
+) -> DataFrame:
+    """(qid, doc_id, score, rank) for a table of queries of any size against
+    vectors of any size, without either side passing the driver.
+
+    Both sides are written (so that they are counted and not computed again) and
+    dealt by hash into blocks of about ``query_block`` queries and batches of
+    about ``vector_batch`` vectors. Every query row is given the number of each
+    vector batch and every vector the number of each query block; Spark then
+    cogroups them by (block, batch), so that one task multiplies one block of
+    queries with one batch of vectors and keeps the k best of each query while it
+    streams the batch. The k-best lists of a query from all batches are merged
+    by ``top_k_per_query``. Every pair is scored once; what is shuffled is each
+    query once per batch and each vector once per block.
+
+    Defined cases: rows with equal ``qid`` are one query whose hits are merged,
+    a document counting once with its best score; an empty side gives no rows.
+    """
     spark = queries.sparkSession
     queries = write_table(queries.select("qid", "embedding"), scratch_path(spark, "query-vectors"))
-    parts = 1 + 2 * queries.count() // block
-    part = F.pmod(F.xxhash64("qid"), F.lit(parts))
-    found = []
-    for i in range(parts):
-        sent = _block(queries.filter(part == i), "qid", 4 * block)
-        if sent is None:
-            raise ValueError("qid must be unique")
-        found.append(_scan_with_queries(vectors, *sent, k, decimals))
-    return reduce(DataFrame.unionByName, found)
+    vectors = write_table(vectors.select("doc_id", "embedding"), scratch_path(spark, "vector-batches"))
+    blocks = max(1, -(-queries.count() // query_block))
+    batches = max(1, -(-vectors.count() // vector_batch))
+    dealt_queries = queries.select(
+        "qid", "embedding", F.pmod(F.xxhash64("qid"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(batches - 1))).alias("batch")
+    )
+    dealt_vectors = vectors.select(
+        "doc_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64("doc_id"), F.lit(batches)).alias("batch")
+    )
+    found = (
+        dealt_queries.groupBy("block", "batch")
+        .cogroup(dealt_vectors.groupBy("block", "batch"))
+        .applyInPandas(partial(_pair_scores, k=k, decimals=decimals), _FOUND)
+        .groupBy("qid", "doc_id")  # a document found by two rows of one query counts once
+        .agg(F.max("score").alias("score"))
+    )
+    return top_k_per_query(found, k, decimals=decimals)
 
 
 def inner_product_top_k(
@@ -146,8 +184,8 @@ def inner_product_top_k(
 
     Every pair is scored, as a flat scan does, but only inside a task by matrix
     product: what leaves a task is at most k rows per query. Either side is sent
-    to the tasks only if it fits in one block; when neither does, the queries are
-    sent block by block.
+    to the tasks only if it fits in one block; when neither does, blocks of
+    queries and batches of vectors are cogrouped (``blocked_top_k``).
     """
     sent = _block(queries, "qid", block)
     if sent is not None:
@@ -155,7 +193,7 @@ def inner_product_top_k(
     elif (sent := _block(vectors, "doc_id", block)) is not None:
         found = _scan_with_vectors(queries, *sent, k, decimals)
     else:
-        found = _scan_by_blocks(vectors, queries, k, decimals, block)
+        return blocked_top_k(vectors, queries, k, decimals, block, block)
     return top_k_per_query(found, k, decimals=decimals)
 
 

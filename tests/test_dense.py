@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.scoring import inner_product
 from marquee.functions.vectors import Encoder, HashedEncoder, embed, mean_pool
-from marquee.operators.dense import inner_product_top_k, masked_mean_pool
+from marquee.operators.dense import blocked_top_k, inner_product_top_k, masked_mean_pool
 from marquee.operators.topk import top_k_per_query
 
 
@@ -128,3 +128,26 @@ def test_many_hits_per_query_are_ranked_in_parts(spark):
     assert "_part" in plan and plan.count("Window ") == 2
     expected = sorted(((-(i % 97), i) for i in range(20_000)))[:5000]
     assert [r["doc_id"] for r in best.orderBy("rank").collect()] == [i for _, i in expected]
+
+
+@pytest.mark.parametrize("query_block, vector_batch", [(7, 50), (40, 13), (1000, 1000)])
+def test_blocks_and_batches_equal_flat_scan(tables, query_block, vector_batch):
+    """Several query blocks and vector batches meet in cogrouped tasks; nothing passes the driver."""
+    vectors, queries, v, q = tables
+    got = blocked_top_k(v, q, 7, query_block=query_block, vector_batch=vector_batch).orderBy("qid", "rank")
+    assert [tuple(r) for r in got.select("qid", "rank", "doc_id", "score").collect()] == flat_scan(vectors, queries, 7)
+
+
+def test_blocks_plan_cogroups(tables):
+    _, _, v, q = tables
+    plan = blocked_top_k(v, q, 3, query_block=10, vector_batch=100)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInPandas" in plan and "BroadcastExchange" not in plan
+
+
+def test_blocks_with_repeated_query_ids_and_empty_sides(spark, tables):
+    vectors, queries, v, q = tables
+    twice = q.unionByName(q)
+    got = blocked_top_k(v, twice, 4, query_block=9, vector_batch=40).orderBy("qid", "rank")
+    assert [tuple(r) for r in got.select("qid", "rank", "doc_id", "score").collect()] == flat_scan(vectors, queries, 4)
+    assert blocked_top_k(v, q.filter("qid < 0"), 3).count() == 0
+    assert blocked_top_k(v.filter("doc_id < 0"), q, 3).count() == 0

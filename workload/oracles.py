@@ -348,6 +348,7 @@ ORACLES: dict[str, str] = {
     "bm25_topk": hits(_TOP, 10),
     "bm25_byte4_topk": _BYTE4,
     "bm25_plus_range": hits(_PLUS_RANGE, 5),
+    "term_topk_pruned": hits(bm25("all_fields", "the", "comedy"), 10),
     "top_rated": hits(ones("rating between 8 and 10"), 5),
     "batch_queries_topk": _BATCH,
     "batch_queries_pruned_topk": _BATCH,
@@ -362,6 +363,8 @@ ORACLES: dict[str, str] = {
     "masked_mean_pool": f"with {VECTORS} select label, cast(d as int) as dim, round(v, 6) + 0.0 as value from pooled",
     "inner_product_batch_topk": f"with {VECTORS}"
     + _inner_products("(select label::bigint as qid, d, v from pooled)", "(select doc_id, d, v from vec)", 7),
+    "inner_product_blocks_topk": f"with {VECTORS}"
+    + _inner_products("(select doc_id as qid, d, v from vec)", "(select doc_id, d, v from vec)", 3),
     "inner_product_topk": f"with {VECTORS} select rank, doc_id, score from ("
     + _inner_products("(select 0 as qid, d, avg(v::double) as v from vec group by d)", "(select doc_id, d, v from vec)", 5)
     + ")",

@@ -40,7 +40,7 @@ from marquee.operators.dedup import (
     patch_ids,
     with_row_positions,
 )
-from marquee.operators.dense import inner_product_top_k, masked_mean_pool
+from marquee.operators.dense import blocked_top_k, inner_product_top_k, masked_mean_pool
 from marquee.operators.matching import match
 from marquee.operators.snippet import snippet
 from marquee.operators.topk import fetch, hit_records, result_cards, top_k
@@ -241,6 +241,12 @@ def q_bm25_plus_range(spark, sf_dir):
     return hit_records(lexical_hits(index, BM25_RANGE, 5, DECIMALS))
 
 
+def q_term_topk_pruned(spark, sf_dir):
+    """A common word and a rarer one: only document ranges that can reach the ten best are read."""
+    index = lexical_index(spark, sf_dir)
+    return hit_records(lexical_hits(index, Term("the comedy"), 10, DECIMALS))
+
+
 def q_top_rated(spark, sf_dir):
     return top_rated(lexical_index(spark, sf_dir))
 
@@ -317,6 +323,15 @@ def q_inner_product_batch_topk(spark, sf_dir):
     return hits.select("qid", "rank", "doc_id", "score")
 
 
+def q_inner_product_blocks_topk(spark, sf_dir):
+    """Every vector as a query against all vectors, by cogrouped blocks of queries
+    and batches of vectors (256 each here, so that the test tables make several)."""
+    vectors = _vectors(spark, sf_dir)
+    queries = vectors.select(F.col("doc_id").alias("qid"), "embedding")
+    hits = blocked_top_k(vectors, queries, 3, query_block=256, vector_batch=256)
+    return hits.select("qid", "rank", "doc_id", "score")
+
+
 def q_inner_product_topk(spark, sf_dir):
     """One query: the mean of all vectors."""
     one = _vectors(spark, sf_dir).select(F.lit(0).cast("long").alias("qid"), "embedding", F.lit(1).alias("mask"))
