@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators.batch import batch_top_k
 from marquee.operators.clauses import Bool, Fuzzy, Phrase, Range, Term
-from marquee.operators.dense import inner_product_top_k
+from marquee.operators.dense import blocked_top_k, inner_product_top_k
 from marquee.plans.build import build_dense, build_lexical
 from marquee.plans.search import dense_batch_search, lexical_search, top_rated
 from marquee.sources.index_tables import open_index
@@ -103,6 +103,7 @@ def run_all(spark: SparkSession) -> tuple[dict[str, float], dict[str, float]]:
 
     searches = {
         "lexical_single": lambda: lexical_search(index, "comedy director the"),
+        "lexical_common_word": lambda: lexical_search(index, "the"),
         "lexical_bool": lambda: lexical_search(
             index,
             Bool(must=[Term("drama", "genre"), Range("rating", 8, None)], should=[Phrase("of the", "plot")]),
@@ -115,6 +116,8 @@ def run_all(spark: SparkSession) -> tuple[dict[str, float], dict[str, float]]:
         "dense_batch_100": lambda: inner_product_top_k(given, given_queries.orderBy("qid").limit(100)),
         "dense_batch_all": lambda: inner_product_top_k(given, given_queries),
         "text_to_vector_batch": lambda: dense_batch_search(vectors, catalog, queries, ENCODER),
+        # Every stored vector as a query against all of them: many blocks on both sides.
+        "dense_all_pairs": lambda: blocked_top_k(vectors, vectors.withColumnRenamed("doc_id", "qid"), 5),
     }
     for name, run in searches.items():
         timed(name, lambda: drain(run()))
