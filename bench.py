@@ -23,8 +23,7 @@ from marquee.operators.dense import blocked_top_k, inner_product_top_k
 from marquee.plans.build import build_dense, build_lexical
 from marquee.plans.search import dense_batch_search, lexical_search, top_rated
 from marquee.sources.index_tables import open_index
-from marquee.sources.catalog import read_catalog
-from marquee.sources.vectors import read_vectors
+from marquee.sources.dense_index import open_dense
 from marquee.functions.vectors import HashedEncoder
 from workload.catalog import raw_catalog, table
 from workload.queries import QUERIES
@@ -94,8 +93,7 @@ def run_all(spark: SparkSession) -> tuple[dict[str, float], dict[str, float]]:
     rates["dense_docs_per_sec"] = round(report["docs"] / times["dense_build"], 1)
 
     index = open_index(spark, f"{out}/lexical")
-    vectors = read_vectors(spark, f"{out}/dense/vectors")
-    catalog = read_catalog(spark, f"{out}/dense/catalog")
+    vectors, catalog = open_dense(spark, f"{out}/dense")
     queries = table(spark, SF_DIR, "benchmark").select(F.col("item_id").alias("qid"), "text")
     hundred = queries.orderBy("qid").limit(100)
     given = table(spark, SF_DIR, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from marquee.operators.cleaning import clean_catalog
 from marquee.operators.dedup import distinct_rows
 from marquee.operators.postings import analyze
 from marquee.operators.snippet import snippet
+from marquee.sources import dense_index
 from marquee.sources.catalog import read_catalog_csv, write_catalog
 from marquee.sources.index_tables import write_index
 from marquee.sources.vectors import write_vectors
@@ -39,15 +41,45 @@ def build_lexical(spark: SparkSession, source: str | DataFrame, out: str, strict
     return _report(seen, started)
 
 
+def _dense_part(spark: SparkSession, source: str | DataFrame, out: str, encoder: Encoder | None, seen: Observation) -> str:
+    """Write the deduplicated raw rows and one vector per row as a new part."""
+    rows = distinct_rows(_raw(spark, source), "row_ord").withColumnRenamed("row_ord", "doc_id")
+    root = f"{out}/dense"
+    name = f"part-{uuid.uuid4().hex}"
+    catalog = write_catalog(rows.observe(seen, F.count(F.lit(1)).alias("docs")), f"{root}/parts/{name}/catalog")
+    write_vectors(encode_catalog(catalog, encoder or HashedEncoder()), f"{root}/parts/{name}/vectors")
+    return name
+
+
 def build_dense(
     spark: SparkSession, source: str | DataFrame, out: str, encoder: Encoder | None = None
 ) -> dict:
-    """Write the deduplicated raw catalog and one vector per row of it."""
+    """Write the deduplicated raw catalog and one vector per row of it as the
+    only part of a new snapshot; the old snapshot stays readable until then."""
     started, seen = time.time(), Observation("dense build")
-    rows = distinct_rows(_raw(spark, source), "row_ord").withColumnRenamed("row_ord", "doc_id")
-    catalog = write_catalog(rows.observe(seen, F.count(F.lit(1)).alias("docs")), f"{out}/dense/catalog")
-    encoder = encoder or HashedEncoder()
-    write_vectors(encode_catalog(catalog, encoder), f"{out}/dense/vectors")
+    before, _ = dense_index.latest(spark, f"{out}/dense")
+    part = _dense_part(spark, source, out, encoder, seen)
+    dense_index.commit(spark, f"{out}/dense", [part], before)
+    return _report(seen, started)
+
+
+def append_dense(
+    spark: SparkSession, source: str | DataFrame, out: str, encoder: Encoder | None = None
+) -> dict:
+    """Add records (``row_ord`` their ids) to the dense index: catalog rows and
+    vectors go into a new part, and a snapshot of the old parts and the new one
+    is committed last. Ids that the index already holds are refused before
+    anything is written."""
+    started, seen = time.time(), Observation("dense append")
+    root = f"{out}/dense"
+    before, parts = dense_index.latest(spark, root)
+    if parts:
+        _, catalog = dense_index.open_dense(spark, root)
+        new_ids = distinct_rows(_raw(spark, source), "row_ord").select(F.col("row_ord").alias("doc_id"))
+        if new_ids.join(catalog.select("doc_id"), "doc_id", "left_semi").limit(1).count():
+            raise ValueError("appended records must have ids that the index does not hold")
+    part = _dense_part(spark, source, out, encoder, seen)
+    dense_index.commit(spark, root, [*parts, part], before)
     return _report(seen, started)
 
 

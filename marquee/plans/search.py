@@ -15,9 +15,8 @@ from marquee.operators.dense import inner_product_top_k
 from marquee.operators.matching import match
 from marquee.operators.pruned import pruned_top_k
 from marquee.operators.topk import fetch, fetch_known, hit_records, top_k
-from marquee.sources.catalog import read_catalog
 from marquee.sources.index_tables import LexicalIndex, open_index
-from marquee.sources.vectors import read_vectors
+from marquee.sources.dense_index import open_dense
 
 # Fixed value: the search type that means the vector index; any other is lexical.
 DENSE_TYPE = "bert"
@@ -92,10 +91,7 @@ class SearchSite:
         return open_index(self.spark, f"{self.path}/lexical", **settings)
 
     def dense(self) -> tuple[DataFrame, DataFrame]:
-        return (
-            read_vectors(self.spark, f"{self.path}/dense/vectors"),
-            read_catalog(self.spark, f"{self.path}/dense/catalog"),
-        )
+        return open_dense(self.spark, f"{self.path}/dense")
 
 
 def search(site: SearchSite, query: str | Clause, search_type: str, k: int = DEFAULT_K) -> DataFrame:

@@ -372,6 +372,8 @@ ORACLES: dict[str, str] = {
     + _inner_products("(select doc_id as qid, d, v from vec)", "(select label::bigint as doc_id, d, v from pooled)", 1000),
     "encode_documents": f"""with {ENCODED} select doc_id, cast(d as int) as dim, round(cast(v as double), 5) + 0.0 as value
         from dv""",
+    "dense_append": f"""with {ENCODED} select doc_id + s as doc_id, cast(d as int) as dim, round(cast(v as double), 5) + 0.0 as value
+        from dv, (values (0), (1000000000000)) as t(s)""",
     "encode_search": f"with {ENCODED} select qid, rank, doc_id, score from dense_hits where rank <= 3",
     "hits_join_catalog": f"""with {ENCODED} select qid, rank, movie_name as name, year, rating, votes, runtime,
         certificate, "cast", director, genre, plot, movie_id, movie_url, score

@@ -47,12 +47,16 @@ from marquee.operators.topk import fetch, hit_records, result_cards, top_k
 from marquee.plans.search import lexical_hits, lexical_search, top_rated
 from marquee.sources.hits_json import hits_from_json, hits_to_json
 from marquee.sources.catalog import CATALOG_COLUMNS, read_catalog_csv
+from marquee.sources.dense_index import open_dense
+from marquee.plans.build import append_dense, build_dense
 from marquee.sources.storage import scratch_path, spread
 from workload.catalog import ENCODER, dense_tables, lexical_index, raw_catalog, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DECIMALS = 4
+#: Added to the ids of appended records.
+APPENDED = 1_000_000_000_000
 
 # A permutation of numbers below 2^40.
 SPARSE = "row_ord * 7919000017 % 1099511627776"
@@ -356,6 +360,19 @@ def q_encode_documents(spark, sf_dir):
     )
 
 
+def q_dense_append(spark, sf_dir):
+    """A dense index built over the catalog, then the catalog again appended under
+    new ids (a second crawl): the vectors of the last snapshot whose catalog rows
+    are there too."""
+    out = scratch_path(spark, "append-site")
+    raw = raw_catalog(spark, sf_dir)
+    build_dense(spark, raw, out, ENCODER)
+    append_dense(spark, raw.withColumn("row_ord", F.col("row_ord") + APPENDED), out, ENCODER)
+    vectors, catalog = open_dense(spark, f"{out}/dense")
+    kept = vectors.join(catalog.select("doc_id"), "doc_id", "left_semi")
+    return kept.select("doc_id", F.posexplode("embedding").alias("dim", "value")).withColumn("value", F.round(F.col("value").cast("double"), 5))
+
+
 def _encoded_queries(spark, sf_dir):
     queries = _batch_queries(spark, sf_dir)
     return queries.select("qid", embed(F.col("text"), ENCODER).alias("embedding"))
