@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from marquee.functions import scoring
 from marquee.functions.text import tokenize
 from marquee.operators import clauses as C
-from marquee.operators.postings import FLOAT_FIELDS, NUMERIC_FIELDS, term_bucket_of
+from marquee.operators.postings import FLOAT_FIELDS, MAX_DELETION_LEN, NUMERIC_FIELDS, term_bucket_of
 from marquee.sources.index_tables import LexicalIndex
 from marquee.sources.storage import scratch_path, write_table
 
@@ -48,6 +48,10 @@ def field_saturation(index: LexicalIndex, field: str, tf: Column) -> Column:
     return scoring.saturation(tf, stored_length(index), average, index.k1, index.b)
 
 
+#: Candidate terms of a fuzzy clause up to this number are named in the scan.
+MAX_CANDIDATES = 10_000
+
+
 def edit_distance(term: Column, text: str, max_edits: int) -> Column:
     """Edits (at most 2 are told apart) between a column and a text, a swap of
     two neighbours counting as one edit and no place being edited twice; some
@@ -326,7 +330,7 @@ class Matcher:
         allowed = F.least(F.lit(clause.max_edits), F.greatest(shorter - 1, F.lit(0)))
         edits = edit_distance(F.col("term"), text, clause.max_edits)
         near = (
-            self.index.terms.filter(F.col("field") == field)
+            self._fuzzy_candidates(text, field, clause.max_edits)
             .filter(F.abs(F.length("term") - len(text)) <= clause.max_edits)
             .filter(edits <= allowed)
             .select("term_bucket", "term", "df", (1 - edits / shorter).alias("likeness"))
@@ -347,6 +351,23 @@ class Matcher:
             .agg(F.sum(F.element_at(factors, F.col("term")) * part).alias("score"))
         )
 
+    def _fuzzy_candidates(self, text: str, field: str, max_edits: int) -> DataFrame:
+        """Terms rows that may lie within ``max_edits`` of ``text``: those that share a
+        deletion key with it (one edit, a neighbour swap included, costs at most one
+        deletion on each side). Where a match could be longer than the deletion table
+        holds, all terms of the field."""
+        every = self.index.terms.filter(F.col("field") == field)
+        if self.index.deletions is None or len(text) + max_edits > MAX_DELETION_LEN:
+            return every
+        keys = {text}
+        for _ in range(max_edits):
+            keys |= {k[:i] + k[i + 1 :] for k in keys for i in range(len(k))}
+        found = self._lookup(self.index.deletions.withColumnRenamed("term", "_t").withColumnRenamed("key", "term"), field, sorted(keys))
+        terms = sorted({r["_t"] for r in found.select("_t").distinct().limit(MAX_CANDIDATES + 1).collect()})
+        if len(terms) > MAX_CANDIDATES:
+            return every.join(found.select(F.col("_t").alias("term")).distinct(), "term")
+        return self._lookup(self.index.terms, field, terms) if terms else every.filter(F.lit(False))
+
     def _fuzzy_all(self, near: DataFrame, field: str, weight: float) -> DataFrame:
         """All near terms, which may be many. They are written first: that gives
         the join a side of known size, and keeps Spark from also testing the

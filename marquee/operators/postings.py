@@ -140,6 +140,37 @@ def range_stats(posting_rows: DataFrame, bits: int, average: dict[str, float]) -
     )
 
 
+#: Terms up to this length are in the deletion table; fuzzy queries whose
+#: matches could be longer test the vocabulary instead.
+MAX_DELETION_LEN = 20
+
+
+def deletion_keys(term: Column) -> Column:
+    """The term and every string made from it by deleting one or two characters."""
+    n = F.length(term)
+
+    def without(i: Column) -> Column:
+        return F.concat(F.substring(term, F.lit(1), i - 1), F.substring(term, i + 1, 1 << 20))
+
+    once = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), without)
+    twice = F.flatten(
+        F.transform(
+            F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+            lambda i: F.transform(
+                F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda j: j > i),
+                lambda j: F.concat(F.substring(term, F.lit(1), i - 1), F.substring(term, i + 1, j - i - 1), F.substring(term, j + 1, 1 << 20)),
+            ),
+        )
+    )
+    return F.array_distinct(F.when(n > 0, F.concat(F.array(term), once, twice)).otherwise(F.array(term)))
+
+
+def deletions(term_rows: DataFrame) -> DataFrame:
+    """(field, key, term): each deletion key of each term up to ``MAX_DELETION_LEN``."""
+    short = term_rows.filter(F.length("term") <= MAX_DELETION_LEN)
+    return short.select("field", F.explode(deletion_keys(F.col("term"))).alias("key"), "term")
+
+
 def doc_lengths(docs: DataFrame) -> DataFrame:
     """(field, doc_id, dl); a document without tokens in a field has no row."""
     entries = [

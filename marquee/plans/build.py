@@ -29,7 +29,7 @@ def _report(seen: Observation, started: float) -> dict:
     return {"docs": seen.get["docs"], "seconds": time.time() - started}
 
 
-def build_lexical(spark: SparkSession, source: str | DataFrame, out: str, strict: bool = False) -> dict:
+def build_lexical(spark: SparkSession, source: str | DataFrame, out: str, strict: bool = False, fuzzy_keys: bool = False) -> dict:
     """Clean, analyse and write the lexical index; returns documents and seconds.
 
     ``source`` is a CSV path or a raw table with a unique ``row_ord``, which
@@ -37,7 +37,7 @@ def build_lexical(spark: SparkSession, source: str | DataFrame, out: str, strict
     """
     started, seen = time.time(), Observation("lexical build")
     analyzed = analyze(clean_catalog(_raw(spark, source), strict))
-    write_index(analyzed.observe(seen, F.count(F.lit(1)).alias("docs")), f"{out}/lexical")
+    write_index(analyzed.observe(seen, F.count(F.lit(1)).alias("docs")), f"{out}/lexical", fuzzy_keys)
     return _report(seen, started)
 
 

@@ -4,6 +4,7 @@
 ``points``    the numbers of each document alone, for numeric clauses
 ``postings``  in folders by field and term bucket, sorted by term then document
 ``terms``     document frequencies, same folders
+``deletions`` each term's strings with one or two characters deleted, for fuzzy lookups
 ``ranges``    per term and range of consecutive document ids: bounds of its scores
 ``fields``    one row per text field: counts, mean length, bucket number, range bits
 
@@ -18,6 +19,7 @@ import time
 import uuid
 from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,7 @@ POSTINGS_SCHEMA = (
 TERMS_SCHEMA = "term string, df long, max_tf int, min_dl int, field string, term_bucket int"
 POINTS_SCHEMA = "doc_id long, " + ", ".join(f"`{c}` {_STORED_TYPES[c]}" for c in P.NUMERIC_FIELDS)
 VERSIONS_SCHEMA = "version string, built_at long"
+DELETIONS_SCHEMA = "key string, term string, field string, term_bucket int"
 RANGES_SCHEMA = "term string, doc_range long, n long, max_tf int, min_dl int, max_part double, field string, term_bucket int"
 FIELDS_SCHEMA = "field string, n_docs long, avg_len double, buckets int, range_bits int"
 
@@ -59,6 +62,7 @@ class LexicalIndex:
     fields: dict[str, tuple[int, float]]
     buckets: int
     ranges: DataFrame | None = None
+    deletions: DataFrame | None = None
     range_bits: int = 0
     k1: float = scoring.K1
     b: float = scoring.B
@@ -73,8 +77,10 @@ class LexicalIndex:
         return replace(self, **settings)
 
 
-def write_index(analyzed: DataFrame, path: str) -> None:
-    """Create or replace the index from analysed documents.
+def write_index(analyzed: DataFrame, path: str, fuzzy_keys: bool = False) -> None:
+    """Create or replace the index from analysed documents. ``fuzzy_keys`` adds
+    the table of deletion keys, with which fuzzy clauses look up candidate terms
+    instead of testing the whole vocabulary (it costs the build the most time).
 
     Each table is written before the next one is derived from it, so a lost
     executor costs one stage and not the whole chain.
@@ -96,6 +102,11 @@ def write_index(analyzed: DataFrame, path: str) -> None:
     write_sorted(
         P.term_stats(written).withColumn("term_bucket", bucket), f"{path}/terms", folders, ["term"]
     )
+    if fuzzy_keys:
+        terms = spark.read.schema(TERMS_SCHEMA).parquet(f"{path}/terms")
+        write_sorted(
+            P.deletions(terms).withColumn("term_bucket", P.term_bucket(F.col("key"), buckets)), f"{path}/deletions", folders, ["key"]
+        )
     bits = P.range_bits_for(n_docs)
     write_sorted(
         P.range_stats(written, bits, {r['field']: r['avg_len'] for r in stats}).withColumn("term_bucket", bucket), f"{path}/ranges", folders, ["term", "doc_range"]
@@ -107,6 +118,16 @@ def write_index(analyzed: DataFrame, path: str) -> None:
     added.coalesce(1).write.mode("append").parquet(f"{index}/versions")
 
 
+def _optional(spark: SparkSession, schema: str, path: str) -> DataFrame | None:
+    """A table that a build may leave out."""
+    try:
+        table = spark.read.schema(schema).parquet(path)
+        table.limit(0).collect()  # the folder exists
+        return table
+    except AnalysisException:
+        return None
+
+
 def open_index(spark: SparkSession, path: str, **settings) -> LexicalIndex:
     """Read the tables; only the last version's name and the few rows of ``fields`` come to the driver."""
     versions = spark.read.schema(VERSIONS_SCHEMA).parquet(f"{path}/versions")
@@ -118,6 +139,7 @@ def open_index(spark: SparkSession, path: str, **settings) -> LexicalIndex:
         postings=spark.read.schema(POSTINGS_SCHEMA).parquet(f"{path}/postings"),
         terms=spark.read.schema(TERMS_SCHEMA).parquet(f"{path}/terms"),
         ranges=spark.read.schema(RANGES_SCHEMA).parquet(f"{path}/ranges"),
+        deletions=_optional(spark, DELETIONS_SCHEMA, f"{path}/deletions"),
         range_bits=max((r["range_bits"] for r in stats), default=0),
         fields={r["field"]: (r["n_docs"], r["avg_len"]) for r in stats},
         buckets=max((r["buckets"] for r in stats), default=1),
