@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marquee.llm import cap_filters, decontamination, id_files, prefix_trie, whitening, kneser_ney, order_minhash, packing, page_difference, prefix_bpe, repeated_bytes, rule_ledger, url_model
 
@@ -44,7 +45,8 @@ def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_bytes.judged(table(spark, sf_dir, "documents"))
+    """The contract's columns, then ``repeated``: whether any byte was removed."""
+    return repeated_bytes.judged(table(spark, sf_dir, "documents")).withColumn("repeated", F.col("n_removed") > 0)
 
 
 def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
