@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.scoring import saturation
+from marquee.functions import scoring
 from marquee.functions.text import tokenize
 
 TEXT_FIELDS = ("name", "cast", "director", "genre", "plot", "certificate")
@@ -23,6 +27,15 @@ STORED_FIELDS = (
 
 # One folder of the document table holds 2 to this power of consecutive ids.
 DOC_BUCKET_BITS = 18
+# Documents are dealt to tasks by 2 to this power of consecutive ids, so that the
+# range of an id lies in one task.
+SLICE_BITS = 14
+
+# What makes up a document's tokens: the text fields and the year, which only
+# counts for ``all_fields``.
+_ANALYZED = (*TEXT_FIELDS, "year")
+# Tokens put in order at a time (some 100 MB of arrays).
+SLICE_TOKENS = 1_000_000
 
 
 def doc_bucket(doc_id: Column) -> Column:
@@ -41,9 +54,13 @@ def term_bucket_of(term: str, buckets: int) -> int:
 def analyze(cleaned: DataFrame, id_column: str = "row_ord") -> DataFrame:
     """Stored fields plus, per text field, its tokens and token count.
 
-    Every text is tokenised once. ``all_fields`` is the other fields joined by
-    spaces, so its tokens are theirs put together and are not kept.
+    Every text is tokenised once, after the rows were dealt to tasks by slices of
+    consecutive ids and sorted by id: tokens are never shuffled. ``all_fields`` is
+    the other fields joined by spaces, so its tokens are theirs put together and
+    are not kept.
     """
+    spark = cleaned.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     tokens = {f"tokens_{f}": tokenize(F.col(f)) for f in TEXT_FIELDS}
     tokens["tokens_year"] = tokenize(F.col("year").cast("string"))
     lengths = {f"len_{f}": F.size(f"tokens_{f}") for f in TEXT_FIELDS}
@@ -55,66 +72,117 @@ def analyze(cleaned: DataFrame, id_column: str = "row_ord") -> DataFrame:
         cleaned.withColumn("doc_id", F.col(id_column).cast("long"))
         .withColumn("doc_bucket", doc_bucket(F.col("doc_id")))
         .select("doc_bucket", "doc_id", *STORED_FIELDS)
+        .repartition(tasks, F.call_function("shiftright", F.col("doc_id"), F.lit(SLICE_BITS)))
+        .sortWithinPartitions("doc_bucket", "doc_id")
         .withColumns(tokens)
         .withColumns(lengths)
     )
 
 
-def _entry(field: str, length: Column, tokens: Column) -> Column:
-    return F.struct(F.lit(field).alias("field"), length.alias("dl"), tokens.alias("tokens"))
-
-
-def text_postings(docs: DataFrame) -> DataFrame:
-    """Postings with positions for the named text fields.
-
-    ``docs`` comes in partitioned by ``doc_id``; the grouping keys contain it,
-    so the aggregation needs no further shuffle.
-    """
-    entries = [_entry(f, F.col(f"len_{f}"), F.col(f"tokens_{f}")) for f in TEXT_FIELDS]
-    # Not a text field: read here and dropped below only so that this side needs
-    # the columns ``body_postings`` needs, and one shuffle of them serves both.
-    year = _entry("year", F.size("tokens_year"), F.col("tokens_year"))
-    return (
-        docs.select("doc_id", F.inline(F.array(*entries, year)))
-        .filter(F.col("field") != "year")
-        .select("doc_id", "field", "dl", F.posexplode_outer("tokens").alias("pos", "term"))
-        .filter(F.col("term").isNotNull())
-        .groupBy("doc_id", "field", "dl", "term")
-        .agg(F.sort_array(F.collect_list("pos")).alias("positions"))
-        .select("field", "term", "doc_id", F.size("positions").alias("tf"), "dl", "positions")
+def _runs(batch: pa.RecordBatch) -> tuple:
+    """The runs of equal (term, document, field) in a batch of analysed documents:
+    the distinct terms, the places of all tokens in that order, and per run its
+    start, term, document, field and whether it is the first of its term and
+    document; then the token counts per field and document."""
+    n, texts, docs, fields, places, sizes = batch.num_rows, [], [], [], [], []
+    for f, name in enumerate(_ANALYZED):
+        lists = batch.column(f"tokens_{name}")
+        size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        total = int(size.sum())
+        texts.append(lists.flatten())
+        docs.append(np.repeat(np.arange(n), size))
+        fields.append(np.full(total, f))
+        places.append(np.arange(total) - np.repeat(np.cumsum(size) - size, size))
+        sizes.append(size)
+    coded = pa.chunked_array(texts).combine_chunks().dictionary_encode()
+    key = (coded.indices.to_numpy().astype(np.int64) * n + np.concatenate(docs)) * len(_ANALYZED) + np.concatenate(fields)
+    order = np.argsort(key, kind="stable")  # keeps the tokens of a run in the order of the text
+    key = key[order]
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
+    key = key[starts]
+    pair = key // len(_ANALYZED)
+    first = np.r_[True, pair[1:] != pair[:-1]] if len(key) else np.empty(0, bool)
+    return coded.dictionary, np.concatenate(places)[order], starts, pair // n, pair % n, key % len(_ANALYZED), first, sizes
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch with about ``SLICE_TOKENS`` tokens (one document at least)."""
+    counts = np.cumsum(batch.column(f"len_{BODY}").to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        end = int(np.searchsorted(counts, (counts[start - 1] if start else 0) + SLICE_TOKENS, "right"))
+        end = max(end, start + 1)
+        yield batch.slice(start, end - start)
+        start = end
+
+
+def _analyzed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", *[f"tokens_{f}" for f in _ANALYZED], f"len_{BODY}")
+
+
+def posting_rows(docs: DataFrame) -> DataFrame:
+    """(term, doc_id, f, dl, positions, body_tf, body_dl): one row per term, document
+    and field (by number), counted inside the row's own task. What the term counts
+    for in ``all_fields`` goes with its first field; ``by_field`` takes it apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in (p for batch in batches for p in _slices(batch)):
+            terms, places, starts, term, doc, field, first, sizes = _runs(piece)
+            if not len(starts):
+                continue
+            tf = np.diff(np.r_[starts, len(places)])
+            body_tf = np.zeros(len(starts), np.int64)
+            body_tf[first] = np.add.reduceat(tf, np.flatnonzero(first))
+            body_dl = np.sum(sizes, axis=0)[doc]
+            keep = np.flatnonzero((field < len(TEXT_FIELDS)) | first)
+            keep = keep[np.argsort(doc[keep], kind="stable")]  # alike rows together, which shrinks the shuffle
+            positions = pa.ListArray.from_arrays(
+                pa.array(np.r_[starts, len(places)].astype(np.int32)), pa.array(places.astype(np.int32))
+            )
+            columns = [
+                terms.take(pa.array(term[keep])),
+                pa.array(piece.column("doc_id").to_numpy()[doc[keep]]),
+                pa.array(field[keep].astype(np.int32)),
+                pa.array(np.array(sizes)[field, doc][keep].astype(np.int32)),
+                positions.take(pa.array(keep)),
+                pa.array(body_tf[keep].astype(np.int32), mask=~first[keep]),
+                pa.array(body_dl[keep].astype(np.int32), mask=~first[keep]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["term", "doc_id", "f", "dl", "positions", "body_tf", "body_dl"])
+
+    return _analyzed(docs).mapInArrow(
+        run, "term string, doc_id long, f int, dl int, positions array<int>, body_tf int, body_dl int"
     )
 
 
-def body_postings(docs: DataFrame) -> DataFrame:
-    """Frequency-only postings for ``all_fields``."""
-    body = F.concat(*[F.col(f"tokens_{f}") for f in (*TEXT_FIELDS, "year")])
-    length = F.size("tokens_year")
-    for f in TEXT_FIELDS:
-        length = length + F.col(f"len_{f}")
-    return (
-        docs.select("doc_id", length.alias("dl"), F.explode_outer(body).alias("term"))
-        .filter(F.col("term").isNotNull())
-        .groupBy("doc_id", "dl", "term")
-        .agg(F.count(F.lit(1)).cast("int").alias("tf"))
-        .select(
-            F.lit(BODY).alias("field"), "term", "doc_id", "tf", "dl",
-            F.lit(None).cast("array<int>").alias("positions"),
-        )
+def by_field(rows: DataFrame) -> DataFrame:
+    """``posting_rows``, with the other columns it has by now, as (field, term,
+    doc_id, tf, dl, positions): positions for the text fields, frequencies alone
+    for ``all_fields``. The order of the rows is kept."""
+    own, names = F.col("_part") == 0, F.array(*[F.lit(f) for f in TEXT_FIELDS])
+    others = [c for c in rows.columns if c not in ("term", "doc_id", "f", "dl", "positions", "body_tf", "body_dl")]
+    parts = rows.withColumn("_part", F.explode(F.array(F.lit(0), F.lit(1)))).filter(
+        F.when(own, F.col("f") < len(TEXT_FIELDS)).otherwise(F.col("body_tf").isNotNull())
+    )
+    return parts.select(
+        F.when(own, F.get(names, F.col("f"))).otherwise(F.lit(BODY)).alias("field"), "term", "doc_id",
+        F.when(own, F.size("positions")).otherwise(F.col("body_tf")).alias("tf"),
+        F.when(own, F.col("dl")).otherwise(F.col("body_dl")).alias("dl"),
+        F.when(own, F.col("positions")).alias("positions"), *others,
     )
 
 
 def postings(docs: DataFrame) -> DataFrame:
     """(field, term, doc_id, tf, dl, positions) for every searchable text field."""
-    by_doc = docs.repartition("doc_id")
-    return text_postings(by_doc).unionByName(body_postings(by_doc))
+    return by_field(posting_rows(docs))
 
 
-def term_stats(posting_rows: DataFrame) -> DataFrame:
+def term_stats(range_rows: DataFrame) -> DataFrame:
     """Per field and term: document frequency and the bounds used for pruning."""
-    return posting_rows.groupBy("field", "term").agg(
-        F.count(F.lit(1)).alias("df"),
-        F.max("tf").alias("max_tf"),
-        F.min("dl").alias("min_dl"),
+    return range_rows.groupBy("field", "term").agg(
+        F.sum("n").alias("df"),
+        F.max("max_tf").alias("max_tf"),
+        F.min("min_dl").alias("min_dl"),
     )
 
 
@@ -130,13 +198,43 @@ def range_stats(posting_rows: DataFrame, bits: int, average: dict[str, float]) -
     documents that have the term, the largest ``tf`` and smallest ``dl`` among
     them, which bound every score the term gives there under any ``k1`` and
     ``b``, and ``max_part``, the largest term part of BM25 with the default
-    ones (``average`` is each field's mean length)."""
-    mean = F.element_at(F.create_map(*[x for f, a in average.items() for x in (F.lit(f), F.lit(float(a)))]), F.col("field"))
-    return posting_rows.groupBy("field", "term", F.call_function("shiftright", F.col("doc_id"), F.lit(bits)).alias("doc_range")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max("tf").alias("max_tf"),
-        F.min("dl").alias("min_dl"),
-        F.max(saturation(F.col("tf"), F.col("dl"), mean)).alias("max_part"),
+    ones (``average`` is each field's mean length).
+
+    Runs of the written postings, which are sorted, are put together where they
+    are read, without a shuffle. A range cut by the end of a file or batch has a
+    row from each part, which readers put together.
+    """
+    names = pa.array([*TEXT_FIELDS, BODY])
+    means = np.array([average.get(f, 1.0) for f in names.to_pylist()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            field, term, buckets = batch.column("field"), batch.column("term"), batch.column("term_bucket")
+            ranges = batch.column("doc_id").to_numpy() >> bits
+            new = np.r_[True, ranges[1:] != ranges[:-1]]
+            for column in (term, field, buckets):
+                new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(new)
+            tf, dl = batch.column("tf").to_numpy(), batch.column("dl").to_numpy()
+            mean = means[pc.index_in(field, names).to_numpy(zero_copy_only=False)]
+            part = tf / (tf + scoring.K1 * ((1.0 - scoring.B) + scoring.B * dl / mean))
+            at = pa.array(starts)
+            columns = [
+                term.take(at),
+                pa.array(ranges[starts]),
+                pa.array(np.diff(np.r_[starts, len(tf)])),
+                pa.array(np.maximum.reduceat(tf, starts)),
+                pa.array(np.minimum.reduceat(dl, starts)),
+                pa.array(np.maximum.reduceat(part, starts)),
+                field.take(at),
+                buckets.take(at),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["term", "doc_range", "n", "max_tf", "min_dl", "max_part", "field", "term_bucket"])
+
+    return posting_rows.select("field", "term_bucket", "term", "doc_id", "tf", "dl").mapInArrow(
+        run, "term string, doc_range long, n long, max_tf int, min_dl int, max_part double, field string, term_bucket int"
     )
 
 

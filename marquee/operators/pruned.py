@@ -69,7 +69,10 @@ def range_bounds(index: LexicalIndex, clause: Term) -> tuple[DataFrame, dict[str
         length = scoring.byte4_length(F.col("min_dl")) if index.norms == "byte4" else F.col("min_dl")
         part = scoring.saturation(F.col("max_tf"), length, average, index.k1, index.b)
     rows = matcher._lookup(index.ranges, clause.field, list(factors))
-    bounds = rows.groupBy("doc_range").agg(F.sum(_factor_of(factors) * part).alias("bound"))
+    rows = rows.select("term", "doc_range", part.alias("part"))
+    # A range may have several rows, each for some of its documents.
+    most = rows.groupBy("term", "doc_range").agg(F.max("part").alias("part"))
+    bounds = most.groupBy("doc_range").agg(F.sum(_factor_of(factors) * F.col("part")).alias("bound"))
     return bounds, factors, matcher
 
 

@@ -5,7 +5,7 @@
 ``postings``  in folders by field and term bucket, sorted by term then document
 ``terms``     document frequencies, same folders
 ``deletions`` each term's strings with one or two characters deleted, for fuzzy lookups
-``ranges``    per term and range of consecutive document ids: bounds of its scores
+``ranges``    per term and range of consecutive document ids: bounds of its scores (rows of one range count together)
 ``fields``    one row per text field: counts, mean length, bucket number, range bits
 
 A build writes them into a folder of its own and adds that folder's name to the
@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from marquee.functions import scoring
 from marquee.operators import postings as P
-from marquee.sources.storage import write_sorted
+from marquee.sources.storage import partition_size, write_in_order, write_sorted
 
-DOCS_PER_TERM_BUCKET = 500_000
+DOCS_PER_TERM_BUCKET = 50_000
 MAX_TERM_BUCKETS = 4096
 # Rough shuffled size of a posting, to size its files when there are few.
 BYTES_PER_TOKEN = 8
@@ -87,7 +87,7 @@ def write_index(analyzed: DataFrame, path: str, fuzzy_keys: bool = False) -> Non
     """
     spark, version = analyzed.sparkSession, f"version-{uuid.uuid4().hex}"
     index, path = path, f"{path}/{version}"
-    docs = write_sorted(analyzed, f"{path}/docs", ["doc_bucket"], ["doc_id"])
+    docs = write_in_order(analyzed, f"{path}/docs", ["doc_bucket"])
     docs.select("doc_id", *P.NUMERIC_FIELDS).write.parquet(f"{path}/points")
     stats = P.field_stats(docs).collect()
     n_docs = max((r["n_docs"] for r in stats), default=0)
@@ -95,23 +95,20 @@ def write_index(analyzed: DataFrame, path: str, fuzzy_keys: bool = False) -> Non
     buckets = min(MAX_TERM_BUCKETS, 1 + n_docs // DOCS_PER_TERM_BUCKET)
     bucket = P.term_bucket(F.col("term"), buckets)
     folders = ["field", "term_bucket"]
-    written = write_sorted(
-        P.postings(docs).withColumn("term_bucket", bucket),
-        f"{path}/postings", folders, ["term", "doc_id"], n_tokens * BYTES_PER_TOKEN,
-    )
+    with partition_size(spark, n_tokens * BYTES_PER_TOKEN):
+        rows = P.posting_rows(docs).withColumn("term_bucket", bucket).hint("rebalance", "term_bucket")
+        written = write_in_order(P.by_field(rows.sortWithinPartitions("term", "doc_id")), f"{path}/postings", folders)
+    bits = P.range_bits_for(n_docs)
+    ranges = write_in_order(P.range_stats(written, bits, {r["field"]: r["avg_len"] for r in stats}), f"{path}/ranges", folders)
     write_sorted(
-        P.term_stats(written).withColumn("term_bucket", bucket), f"{path}/terms", folders, ["term"]
+        P.term_stats(ranges).withColumn("term_bucket", bucket), f"{path}/terms", folders, ["term"]
     )
     if fuzzy_keys:
         terms = spark.read.schema(TERMS_SCHEMA).parquet(f"{path}/terms")
         write_sorted(
             P.deletions(terms).withColumn("term_bucket", P.term_bucket(F.col("key"), buckets)), f"{path}/deletions", folders, ["key"]
         )
-    bits = P.range_bits_for(n_docs)
-    write_sorted(
-        P.range_stats(written, bits, {r['field']: r['avg_len'] for r in stats}).withColumn("term_bucket", bucket), f"{path}/ranges", folders, ["term", "doc_range"]
-    )
-    fields = P.field_stats(docs).withColumns({"buckets": F.lit(buckets), "range_bits": F.lit(bits)})
+    fields = spark.createDataFrame([(*r, buckets, bits) for r in stats], FIELDS_SCHEMA)
     fields.coalesce(1).write.mode("overwrite").parquet(f"{path}/fields")
     # One row per build; the last one counts.
     added = spark.createDataFrame([(version, time.time_ns())], VERSIONS_SCHEMA)
