@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from marquee.functions.text import tokenize
 MAX_LENGTH = 512
 STEP_ROWS = 10
 MAX_SEEN = 100_000
+# Numbers in the token vectors that are summed at once (about 32 MB).
+WORDS_AT_ONCE = 1 << 22
 
 Encoded = tuple[np.ndarray, np.ndarray]
 
@@ -106,6 +110,8 @@ def pooled_windows(rows: list, encoder: Encoder, encode: Callable[[list], Encode
 def embed(text: Column, encoder: Encoder) -> Column:
     """One float vector per text, of the whole text. The encoder is loaded once
     per task and fed a few windows at a time; token vectors never leave the task."""
+    if isinstance(encoder, HashedEncoder):
+        return _embed_words(encoder.prepare(text), encoder)
 
     @F.pandas_udf("array<float>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -118,3 +124,32 @@ def embed(text: Column, encoder: Encoder) -> Column:
             yield pd.Series(out, dtype=object)
 
     return run(encoder.prepare(text))
+
+
+def _embed_words(tokens: Column, encoder: HashedEncoder) -> Column:
+    """The mean of the token vectors where a vector depends on the token alone: the
+    tokens are numbered by Arrow, each distinct one is looked up once, and the rows
+    of the table are summed per text; a long text is summed in parts."""
+
+    @F.arrow_udf("array<float>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        seen: dict[str, np.ndarray] = {}
+        most = max(1, WORDS_AT_ONCE // encoder.dim)
+        for batch in batches:
+            size = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            owner, words = np.repeat(np.arange(len(batch)), size), batch.flatten()
+            sums = np.zeros((len(batch), encoder.dim))
+            for a in range(0, len(words), most):
+                coded, own = words[a : a + most].dictionary_encode(), owner[a : a + most]
+                known = coded.dictionary.to_pylist()
+                if len(seen) > MAX_SEEN:
+                    seen.clear()
+                seen.update((t, encoder.token_vector(t)) for t in known if t not in seen)
+                table = np.array([seen[t] for t in known])
+                starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+                sums[own[starts]] += np.add.reduceat(table[coded.indices.to_numpy()], starts, axis=0)
+            means = (sums / np.maximum(size, 1)[:, None]).astype(np.float32)
+            offsets = pa.array(np.arange(len(batch) + 1, dtype=np.int32) * encoder.dim)
+            yield pa.ListArray.from_arrays(offsets, pa.array(means.ravel(), pa.float32()))
+
+    return run(tokens)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.functions.scoring import inner_product
+from marquee.functions.text import tokenize
 from marquee.functions.vectors import Encoder, HashedEncoder, embed, mean_pool
 from marquee.operators.dense import blocked_top_k, inner_product_top_k, masked_mean_pool
 from marquee.operators.topk import top_k_per_query
@@ -151,3 +152,18 @@ def test_blocks_with_repeated_query_ids_and_empty_sides(spark, tables):
     assert [tuple(r) for r in got.select("qid", "rank", "doc_id", "score").collect()] == flat_scan(vectors, queries, 4)
     assert blocked_top_k(v, q.filter("qid < 0"), 3).count() == 0
     assert blocked_top_k(v.filter("doc_id < 0"), q, 3).count() == 0
+
+
+def test_words_are_pooled_as_by_the_encoder(spark):
+    """Rows of a table summed by number equal the general way, whatever the length."""
+    from marquee.functions import vectors as V
+
+    texts = ["", "one", "deep sea deep", " ".join(f"w{i % 700} Sea" for i in range(1500)), None, "!!!"]
+    encoder = V.HashedEncoder(dim=32)
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string").coalesce(1)
+    embedded = frame.select("i", V.embed(F.col("text"), encoder).alias("v"))
+    assert "pandas" not in embedded._jdf.queryExecution().executedPlan().toString().lower()
+    got = {r["i"]: np.array(r["v"]) for r in embedded.collect()}
+    words = {r["i"]: r["w"] for r in frame.select("i", tokenize(F.col("text")).alias("w")).collect()}
+    wanted = V.pooled_windows([words[i] for i in range(len(texts))], encoder, encoder.load())
+    assert all(got[i].shape == (32,) and np.allclose(got[i], wanted[i], atol=1e-7) for i in range(len(texts)))
