@@ -20,3 +20,9 @@ def test_a_large_family_has_few_links(spark, monkeypatch):
     assert all(found[n] == (0, 200) for n in range(200))
     assert found[900] == (900, 1) and found[901] == (901, 1)
     assert counted[0] < 2 * len(rows)
+
+
+def test_word_hashes_kept_by_a_worker_stay_few():
+    for n in range(250):
+        order_minhash.k_mers(" ".join(f"word{n}x{i}" for i in range(1000)))
+    assert len(order_minhash._hashes) <= 110_000
