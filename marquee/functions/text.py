@@ -15,16 +15,18 @@ DIGIT_JOINERS = ",;.'‘’․"
 
 # Ideographs and Hiragana are words of their own; every other script forms runs.
 # Quantifiers are possessive so that a very long run cannot exhaust the stack, and
-# a run of underscores is tried from its start only.
+# a run of underscores is tried from its start only. ASCII letters and the ASCII
+# characters that begin no word are told apart first, without looking up a script.
 _LETTERS = (
-    r"[\p{L}\p{Nl}&&[^\p{IsHan}\p{IsHiragana}]]"
-    r"[\p{L}\p{Nl}\p{M}&&[^\p{IsHan}\p{IsHiragana}]]*+"
+    r"[a-z[\p{L}\p{Nl}&&[^\p{IsHan}\p{IsHiragana}]]]"
+    r"[a-z[\p{L}\p{Nl}\p{M}&&[^\p{IsHan}\p{IsHiragana}]]]*+"
 )
 _LETTER_RUN = f"{_LETTERS}(?:[{LETTER_JOINERS}]{_LETTERS})*+"
 _DIGIT_RUN = rf"\p{{Nd}}++(?:[{DIGIT_JOINERS}]\p{{Nd}}++)*+"
 WORD_PATTERN = (
-    f"(?:(?<!_)_++)?+(?:{_LETTER_RUN}|{_DIGIT_RUN})(?:{_LETTER_RUN}|{_DIGIT_RUN}|_++)*+"
-    r"|\p{IsHan}|\p{IsHiragana}"
+    r"(?![\x00-/:-@\[-\^`{-\x7f])"
+    f"(?:(?:(?<!_)_++)?+(?:{_LETTER_RUN}|{_DIGIT_RUN})(?:{_LETTER_RUN}|{_DIGIT_RUN}|_++)*+"
+    r"|\p{IsHan}|\p{IsHiragana})"
 )
 
 

@@ -34,8 +34,8 @@ SLICE_BITS = 14
 # What makes up a document's tokens: the text fields and the year, which only
 # counts for ``all_fields``.
 _ANALYZED = (*TEXT_FIELDS, "year")
-# Tokens put in order at a time (some 100 MB of arrays).
-SLICE_TOKENS = 1_000_000
+# Tokens put in order at a time (some 200 MB of arrays).
+SLICE_TOKENS = 2_000_000
 
 
 def doc_bucket(doc_id: Column) -> Column:
@@ -54,36 +54,38 @@ def term_bucket_of(term: str, buckets: int) -> int:
 def analyze(cleaned: DataFrame, id_column: str = "row_ord") -> DataFrame:
     """Stored fields plus, per text field, its tokens and token count.
 
-    Every text is tokenised once, after the rows were dealt to tasks by slices of
+    Texts are tokenised after the rows were dealt to tasks by slices of
     consecutive ids and sorted by id: tokens are never shuffled. ``all_fields`` is
     the other fields joined by spaces, so its tokens are theirs put together and
     are not kept.
     """
     spark = cleaned.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    tokens = {f"tokens_{f}": tokenize(F.col(f)) for f in TEXT_FIELDS}
-    tokens["tokens_year"] = tokenize(F.col("year").cast("string"))
     lengths = {f"len_{f}": F.size(f"tokens_{f}") for f in TEXT_FIELDS}
     body_length = F.size("tokens_year")
     for f in TEXT_FIELDS:
         body_length = body_length + F.size(f"tokens_{f}")
     lengths[f"len_{BODY}"] = body_length
-    return (
+    rows = (
         cleaned.withColumn("doc_id", F.col(id_column).cast("long"))
         .withColumn("doc_bucket", doc_bucket(F.col("doc_id")))
         .select("doc_bucket", "doc_id", *STORED_FIELDS)
         .repartition(tasks, F.call_function("shiftright", F.col("doc_id"), F.lit(SLICE_BITS)))
         .sortWithinPartitions("doc_bucket", "doc_id")
-        .withColumns(tokens)
-        .withColumns(lengths)
     )
+    return with_tokens(rows).withColumns(lengths)
 
 
-def _runs(batch: pa.RecordBatch) -> tuple:
-    """The runs of equal (term, document, field) in a batch of analysed documents:
-    the distinct terms, the places of all tokens in that order, and per run its
-    start, term, document, field and whether it is the first of its term and
-    document; then the token counts per field and document."""
+def with_tokens(docs: DataFrame) -> DataFrame:
+    """Stored fields and, where they lack them, the tokens of the analysed ones."""
+    tokens = {f"tokens_{f}": tokenize(F.col(f).cast("string")) for f in _ANALYZED}
+    return docs.withColumns({name: words for name, words in tokens.items() if name not in docs.columns})
+
+
+def _tokens(batch: pa.RecordBatch) -> tuple:
+    """All tokens of a batch of analysed documents: the distinct terms, then per
+    token its term, field, document and place; then the token counts per field and
+    document."""
     n, texts, docs, fields, places, sizes = batch.num_rows, [], [], [], [], []
     for f, name in enumerate(_ANALYZED):
         lists = batch.column(f"tokens_{name}")
@@ -95,91 +97,148 @@ def _runs(batch: pa.RecordBatch) -> tuple:
         places.append(np.arange(total) - np.repeat(np.cumsum(size) - size, size))
         sizes.append(size)
     coded = pa.chunked_array(texts).combine_chunks().dictionary_encode()
-    key = (coded.indices.to_numpy().astype(np.int64) * n + np.concatenate(docs)) * len(_ANALYZED) + np.concatenate(fields)
-    order = np.argsort(key, kind="stable")  # keeps the tokens of a run in the order of the text
-    key = key[order]
-    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
-    key = key[starts]
-    pair = key // len(_ANALYZED)
-    first = np.r_[True, pair[1:] != pair[:-1]] if len(key) else np.empty(0, bool)
-    return coded.dictionary, np.concatenate(places)[order], starts, pair // n, pair % n, key % len(_ANALYZED), first, sizes
+    terms = coded.indices.to_numpy().astype(np.int64)
+    return coded.dictionary, terms, np.concatenate(fields), np.concatenate(docs), np.concatenate(places), np.array(sizes)
+
+
+def _firsts(key: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values start."""
+    return np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch with about ``SLICE_TOKENS`` tokens (one document at least)."""
+    """Pieces of a batch in the order of ids, each of about ``SLICE_TOKENS`` tokens
+    (one document at least) and inside one slice of ids, so that no two pieces of
+    an index cover each other's ids."""
+    ids = batch.column("doc_id").to_numpy()
+    if (ids[1:] < ids[:-1]).any():
+        batch = batch.take(pa.array(np.argsort(ids, kind="stable")))
+        ids = batch.column("doc_id").to_numpy()
     counts = np.cumsum(batch.column(f"len_{BODY}").to_numpy(zero_copy_only=False))
     start = 0
     while start < batch.num_rows:
         end = int(np.searchsorted(counts, (counts[start - 1] if start else 0) + SLICE_TOKENS, "right"))
-        end = max(end, start + 1)
+        end = min(max(end, start + 1), int(np.searchsorted(ids >> SLICE_BITS, ids[start] >> SLICE_BITS, "right")))
         yield batch.slice(start, end - start)
         start = end
 
 
 def _analyzed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", *[f"tokens_{f}" for f in _ANALYZED], f"len_{BODY}")
+    return with_tokens(docs).select("doc_id", *[f"tokens_{f}" for f in _ANALYZED], f"len_{BODY}")
 
 
-def posting_rows(docs: DataFrame) -> DataFrame:
-    """(term, doc_id, f, dl, positions, body_tf, body_dl): one row per term, document
-    and field (by number), counted inside the row's own task. What the term counts
-    for in ``all_fields`` goes with its first field; ``by_field`` takes it apart."""
+# Numbers of blocks are kept in two bytes; a block with a larger one has it in ``wide_``.
+# The term comes last: rows of alike blocks then look alike, which shrinks the shuffle.
+BLOCKS_SCHEMA = (
+    "from_id long, ids array<smallint>, dls array<smallint>, places array<smallint>, tfs array<int>, "
+    "starts array<int>, wide_dls array<int>, wide_places array<int>, field string, term string"
+)
+
+
+def _block_rows(field: pa.Array, term: pa.Array, group: np.ndarray, ids: np.ndarray, tf: np.ndarray, dl: np.ndarray, places: np.ndarray | None) -> pa.RecordBatch:
+    """Postings, in order, as one row per run of equal ``group``."""
+    first = _firsts(group)
+    ends = np.r_[first, len(group)]
+    sizes = np.diff(ends)
+
+    def lists(values: np.ndarray, at: np.ndarray = ends, null: np.ndarray | None = None, kind: type = np.int32) -> pa.Array:
+        mask = None if null is None else pa.array(null)
+        return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values.astype(kind)), mask=mask)
+
+    def narrow(values: np.ndarray, at: np.ndarray = ends) -> tuple[pa.Array, pa.Array]:
+        large = np.maximum.reduceat(values, at[:-1]) > np.iinfo(np.int16).max
+        return lists(values, at, large, np.int16), lists(values, at, ~large)
+
+    single = np.maximum.reduceat(tf, first) == 1
+    at, (dls, wide_dls) = pa.array(first), narrow(dl)
+    if places is None:
+        starts, positions, wide_positions = (pa.nulls(len(first), pa.list_(t)) for t in (pa.int32(), pa.int16(), pa.int32()))
+    else:
+        before = np.r_[0, np.cumsum(tf)]
+        starts = lists(before[:-1] - np.repeat(before[first], sizes), null=single)
+        positions, wide_positions = narrow(places, before[ends])
+    columns = {
+        "from_id": pa.array(ids[first]), "ids": lists(ids - np.repeat(ids[first], sizes), kind=np.int16), "dls": dls,
+        "places": positions, "tfs": lists(tf, null=single), "starts": starts, "wide_dls": wide_dls,
+        "wide_places": wide_positions, "field": field.take(at), "term": term.take(at),
+    }
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def posting_blocks(docs: DataFrame) -> DataFrame:
+    """The postings, several to a row, counted inside the documents' own task: per
+    field, term and piece of consecutive documents the ids (less the first,
+    ``from_id``), frequencies (null if all are one) and field lengths, and for text
+    fields the positions one after another with where each document's start.
+    ``open_blocks`` takes them apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = pa.array([*TEXT_FIELDS, BODY])
         for piece in (p for batch in batches for p in _slices(batch)):
-            terms, places, starts, term, doc, field, first, sizes = _runs(piece)
-            if not len(starts):
+            terms, term, field, doc, places, sizes = _tokens(piece)
+            if not len(term):
                 continue
-            tf = np.diff(np.r_[starts, len(places)])
-            body_tf = np.zeros(len(starts), np.int64)
-            body_tf[first] = np.add.reduceat(tf, np.flatnonzero(first))
-            body_dl = np.sum(sizes, axis=0)[doc]
-            keep = np.flatnonzero((field < len(TEXT_FIELDS)) | first)
-            keep = keep[np.argsort(doc[keep], kind="stable")]  # alike rows together, which shrinks the shuffle
-            positions = pa.ListArray.from_arrays(
-                pa.array(np.r_[starts, len(places)].astype(np.int32)), pa.array(places.astype(np.int32))
+            n, ids = piece.num_rows, piece.column("doc_id").to_numpy()
+            key = (term * len(_ANALYZED) + field) * n + doc
+            order = np.argsort(key, kind="stable")  # keeps the tokens of a run in the order of the text
+            key, places = key[order], places[order]
+            starts = _firsts(key)
+            tf = np.diff(np.r_[starts, len(key)])
+            group, doc = key[starts] // n, key[starts] % n
+            term, field = group // len(_ANALYZED), group % len(_ANALYZED)
+            text = field < len(TEXT_FIELDS)
+            if text.any():
+                yield _block_rows(
+                    names.take(pa.array(field[text])), terms.take(pa.array(term[text])), group[text], ids[doc[text]], tf[text],
+                    sizes[field[text], doc[text]], places[np.repeat(text, tf)],
+                )
+            pair = term * n + doc
+            order = np.argsort(pair, kind="stable")
+            pair = pair[order]
+            starts = _firsts(pair)
+            term, doc = pair[starts] // n, pair[starts] % n
+            body = names.take(pa.array(np.full(len(starts), len(TEXT_FIELDS))))
+            yield _block_rows(
+                body, terms.take(pa.array(term)), term, ids[doc], np.add.reduceat(tf[order], starts), sizes.sum(axis=0)[doc], None
             )
-            columns = [
-                terms.take(pa.array(term[keep])),
-                pa.array(piece.column("doc_id").to_numpy()[doc[keep]]),
-                pa.array(field[keep].astype(np.int32)),
-                pa.array(np.array(sizes)[field, doc][keep].astype(np.int32)),
-                positions.take(pa.array(keep)),
-                pa.array(body_tf[keep].astype(np.int32), mask=~first[keep]),
-                pa.array(body_dl[keep].astype(np.int32), mask=~first[keep]),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["term", "doc_id", "f", "dl", "positions", "body_tf", "body_dl"])
-
-    return _analyzed(docs).mapInArrow(
-        run, "term string, doc_id long, f int, dl int, positions array<int>, body_tf int, body_dl int"
-    )
-
 
-def by_field(rows: DataFrame) -> DataFrame:
-    """``posting_rows``, with the other columns it has by now, as (field, term,
-    doc_id, tf, dl, positions): positions for the text fields, frequencies alone
-    for ``all_fields``. The order of the rows is kept."""
-    own, names = F.col("_part") == 0, F.array(*[F.lit(f) for f in TEXT_FIELDS])
-    others = [c for c in rows.columns if c not in ("term", "doc_id", "f", "dl", "positions", "body_tf", "body_dl")]
-    parts = rows.withColumn("_part", F.explode(F.array(F.lit(0), F.lit(1)))).filter(
-        F.when(own, F.col("f") < len(TEXT_FIELDS)).otherwise(F.col("body_tf").isNotNull())
-    )
-    return parts.select(
-        F.when(own, F.get(names, F.col("f"))).otherwise(F.lit(BODY)).alias("field"), "term", "doc_id",
-        F.when(own, F.size("positions")).otherwise(F.col("body_tf")).alias("tf"),
-        F.when(own, F.col("dl")).otherwise(F.col("body_dl")).alias("dl"),
-        F.when(own, F.col("positions")).alias("positions"), *others,
+    return _analyzed(docs).mapInArrow(run, BLOCKS_SCHEMA)
+
+
+def open_blocks(blocks: DataFrame) -> DataFrame:
+    """Blocks as postings: (field, term, doc_id, tf, dl, positions, from_id) and the
+    other columns. The order is kept, and tests of columns a block has are made
+    before it is taken apart."""
+    packed = ("ids", "tfs", "dls", "wide_dls", "starts", "places", "wide_places")
+    others = [c for c in blocks.columns if c not in (*packed, "field", "term", "from_id")]
+    at = F.col("_at")
+    tf = F.coalesce(F.get("tfs", at), F.lit(1))
+    start = F.coalesce(F.get("starts", at), at) + 1
+    positions = F.coalesce(F.slice("places", start, tf).cast("array<int>"), F.slice("wide_places", start, tf))
+    return blocks.select("*", F.posexplode("ids").alias("_at", "_id")).select(
+        "field", "term", (F.col("from_id") + F.col("_id")).alias("doc_id"), tf.alias("tf"),
+        F.coalesce(F.get("dls", at).cast("int"), F.get("wide_dls", at)).alias("dl"),
+        positions.alias("positions"), "from_id", *others,
     )
 
 
 def postings(docs: DataFrame) -> DataFrame:
     """(field, term, doc_id, tf, dl, positions) for every searchable text field."""
-    return by_field(posting_rows(docs))
+    return open_blocks(posting_blocks(docs)).drop("from_id")
+
+
+def block_counts(blocks: DataFrame) -> DataFrame:
+    """What ``term_stats`` puts together, from the blocks as they are."""
+    return blocks.select(
+        "field", "term", F.size("ids").alias("n"), F.coalesce(F.array_max("tfs"), F.lit(1)).alias("max_tf"),
+        F.coalesce(F.array_min("dls").cast("int"), F.array_min("wide_dls")).alias("min_dl"),
+    )
 
 
-def term_stats(range_rows: DataFrame) -> DataFrame:
-    """Per field and term: document frequency and the bounds used for pruning."""
-    return range_rows.groupBy("field", "term").agg(
+def term_stats(counts: DataFrame) -> DataFrame:
+    """Per field and term: document frequency and the bounds used for pruning, from
+    rows that count parts of its documents (blocks or ranges)."""
+    return counts.groupBy("field", "term").agg(
         F.sum("n").alias("df"),
         F.max("max_tf").alias("max_tf"),
         F.min("min_dl").alias("min_dl"),
@@ -193,34 +252,50 @@ def range_bits_for(n_docs: int) -> int:
     return max(6, min(16, math.ceil(math.log2(max(n_docs, 1)) / 2)))
 
 
-def range_stats(posting_rows: DataFrame, bits: int, average: dict[str, float]) -> DataFrame:
+def range_stats(postings: DataFrame, bits: int, average: dict[str, float]) -> DataFrame:
     """Per field, term and range of ``2^bits`` consecutive document ids: the
     documents that have the term, the largest ``tf`` and smallest ``dl`` among
     them, which bound every score the term gives there under any ``k1`` and
     ``b``, and ``max_part``, the largest term part of BM25 with the default
     ones (``average`` is each field's mean length).
 
-    Runs of the written postings, which are sorted, are put together where they
-    are read, without a shuffle. A range cut by the end of a file or batch has a
-    row from each part, which readers put together.
+    ``postings`` are single ones or blocks. Runs of the written ones, which are
+    sorted, are put together where they are read, without a shuffle. A range cut by
+    the end of a file or batch has a row from each part, which readers put together.
     """
     names = pa.array([*TEXT_FIELDS, BODY])
     means = np.array([average.get(f, 1.0) for f in names.to_pylist()])
+    blocks = "ids" in postings.columns
+
+    def numbers(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        """Per posting its row, document, ``tf`` and ``dl``."""
+        if not blocks:
+            return (np.arange(batch.num_rows), *(batch.column(c).to_numpy() for c in ("doc_id", "tf", "dl")))
+        lists = batch.column("ids")
+        sizes = pc.list_value_length(lists).to_numpy()
+        row = np.repeat(np.arange(batch.num_rows), sizes)
+        doc = batch.column("from_id").to_numpy()[row] + lists.flatten().to_numpy()
+        tf, dl = np.ones(len(row), np.int32), np.empty(len(row), np.int32)
+        for values, name in ((tf, "tfs"), (dl, "dls"), (dl, "wide_dls")):
+            given = batch.column(name)  # null, and so not in the flat values, for some rows
+            values[given.is_valid().to_numpy(zero_copy_only=False)[row]] = given.flatten().to_numpy()
+        return row, doc, tf, dl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             field, term, buckets = batch.column("field"), batch.column("term"), batch.column("term_bucket")
-            ranges = batch.column("doc_id").to_numpy() >> bits
-            new = np.r_[True, ranges[1:] != ranges[:-1]]
+            other = np.ones(batch.num_rows, bool)  # a row of another term than the one before
+            other[1:] = False
             for column in (term, field, buckets):
-                new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
-            starts = np.flatnonzero(new)
-            tf, dl = batch.column("tf").to_numpy(), batch.column("dl").to_numpy()
-            mean = means[pc.index_in(field, names).to_numpy(zero_copy_only=False)]
+                other[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+            row, doc, tf, dl = numbers(batch)
+            ranges, run_of = doc >> bits, np.cumsum(other)[row]
+            starts = np.flatnonzero(np.r_[True, (ranges[1:] != ranges[:-1]) | (run_of[1:] != run_of[:-1])])
+            mean = means[pc.index_in(field, names).to_numpy(zero_copy_only=False)][row]
             part = tf / (tf + scoring.K1 * ((1.0 - scoring.B) + scoring.B * dl / mean))
-            at = pa.array(starts)
+            at = pa.array(row[starts])
             columns = [
                 term.take(at),
                 pa.array(ranges[starts]),
@@ -233,7 +308,8 @@ def range_stats(posting_rows: DataFrame, bits: int, average: dict[str, float]) -
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["term", "doc_range", "n", "max_tf", "min_dl", "max_part", "field", "term_bucket"])
 
-    return posting_rows.select("field", "term_bucket", "term", "doc_id", "tf", "dl").mapInArrow(
+    numeric = ("from_id", "ids", "tfs", "dls", "wide_dls") if blocks else ("doc_id", "tf", "dl")
+    return postings.select("field", "term_bucket", "term", *numeric).mapInArrow(
         run, "term string, doc_range long, n long, max_tf int, min_dl int, max_part double, field string, term_bucket int"
     )
 

@@ -2,7 +2,9 @@
 
 The ``ranges`` table holds, per field, term and range of ``2^range_bits``
 consecutive document ids, the largest BM25 term part there under the default
-``k1`` and ``b``, and the largest ``tf`` and smallest length. ``idf`` times the
+``k1`` and ``b``, and the largest ``tf`` and smallest length. It leaves out terms
+of ``2^range_bits`` documents or fewer; those words' postings are read instead, of
+which there are no more than a range has ids. ``idf`` times the
 largest part, summed over the query's words, bounds every score inside the
 range; under other ``k1``, ``b`` or norms, ``saturation(max_tf, min_dl)`` does, as
 the term part grows with ``tf`` and falls with length.
@@ -13,8 +15,8 @@ the term part grows with ``tf`` and falls with length.
    their exact scores give ``theta``, the k-th best of them, a lower bound of the
    final k-th score. Only k rows come to the driver.
 3. Only ranges whose bound reaches ``theta`` can hold a result. Their postings
-   are read (the ids go into the scan as ranges of ``doc_id``, which Parquet
-   pushes down to row groups and pages; beyond ``MAX_LITERAL_RANGES`` they are
+   are read (the ids go into the scan as ranges of a block's ``from_id``, which
+   Parquet uses on row groups and pages; beyond ``MAX_LITERAL_RANGES`` they are
    joined as a table instead), summed per document and ranked as usual.
 
 For a single common word this reads about k ranges instead of every posting of
@@ -33,7 +35,7 @@ from marquee.functions import scoring
 from marquee.functions.scoring import SCORE_DECIMALS
 from marquee.operators.clauses import Term
 from marquee.operators.matching import Matcher, field_saturation
-from marquee.operators.postings import NUMERIC_FIELDS
+from marquee.operators.postings import NUMERIC_FIELDS, SLICE_BITS
 from marquee.operators.topk import top_k
 from marquee.sources.index_tables import LexicalIndex
 from marquee.sources.storage import scratch_path, write_table
@@ -68,8 +70,15 @@ def range_bounds(index: LexicalIndex, clause: Term) -> tuple[DataFrame, dict[str
         average = F.lit(index.fields[clause.field][1])
         length = scoring.byte4_length(F.col("min_dl")) if index.norms == "byte4" else F.col("min_dl")
         part = scoring.saturation(F.col("max_tf"), length, average, index.k1, index.b)
-    rows = matcher._lookup(index.ranges, clause.field, list(factors))
+    # Words of few documents have no rows of ranges; their postings give the same.
+    few = [w for w in factors if matcher.doc_freq[clause.field, w] <= 1 << index.range_bits]
+    rows = matcher._lookup(index.ranges, clause.field, [w for w in factors if w not in few])
     rows = rows.select("term", "doc_range", part.alias("part"))
+    if few:
+        found = matcher._lookup(index.postings, clause.field, few)
+        doc_range = F.call_function("shiftright", F.col("doc_id"), F.lit(index.range_bits))
+        part = field_saturation(index, clause.field, F.col("tf"))
+        rows = rows.unionByName(found.select("term", doc_range.alias("doc_range"), part.alias("part")))
     # A range may have several rows, each for some of its documents.
     most = rows.groupBy("term", "doc_range").agg(F.max("part").alias("part"))
     bounds = most.groupBy("doc_range").agg(F.sum(_factor_of(factors) * F.col("part")).alias("bound"))
@@ -82,17 +91,20 @@ def _scores(index: LexicalIndex, matcher: Matcher, clause: Term, factors: dict[s
 
 
 def _in_ranges(bits: int, ranges: list[int]):
-    """``doc_id`` inside any of the ranges, as merged intervals that Parquet can use."""
+    """``doc_id`` inside any of the ranges, and ``from_id`` where a block that reaches
+    into one can start, as merged intervals that Parquet can use."""
     spans: list[list[int]] = []
     for r in sorted(ranges):
         if spans and r == spans[-1][1] + 1:
             spans[-1][1] = r
         else:
             spans.append([r, r])
-    test = F.lit(False)
+    test = blocks = F.lit(False)
     for low, high in spans:
-        test = test | F.col("doc_id").between(F.lit(low << bits), F.lit(((high + 1) << bits) - 1))
-    return test
+        first, last = low << bits, ((high + 1) << bits) - 1
+        test = test | F.col("doc_id").between(F.lit(first), F.lit(last))
+        blocks = blocks | F.col("from_id").between(F.lit(first - (1 << SLICE_BITS) + 1), F.lit(last))
+    return blocks & test
 
 
 def candidate_ranges(index: LexicalIndex, clause: Term, k: int, decimals: int = SCORE_DECIMALS):

@@ -1,11 +1,11 @@
 """The lexical index as Parquet tables.
 
-``docs``      stored fields, tokens and lengths, in folders of consecutive ids
+``docs``      stored fields and lengths, in folders of consecutive ids
 ``points``    the numbers of each document alone, for numeric clauses
-``postings``  in folders by field and term bucket, sorted by term then document
+``postings``  blocks of consecutive documents, in folders by field and term bucket, sorted by term then document
 ``terms``     document frequencies, same folders
 ``deletions`` each term's strings with one or two characters deleted, for fuzzy lookups
-``ranges``    per term and range of consecutive document ids: bounds of its scores (rows of one range count together)
+``ranges``    per term of more documents than a range has ids, and range of consecutive ids: bounds of its scores (rows of one range count together)
 ``fields``    one row per text field: counts, mean length, bucket number, range bits
 
 A build writes them into a folder of its own and adds that folder's name to the
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import scoring
 from marquee.operators import postings as P
-from marquee.sources.storage import partition_size, write_in_order, write_sorted
+from marquee.sources.storage import heavy_splits, partition_size, write_in_order, write_sorted
 
 DOCS_PER_TERM_BUCKET = 50_000
 MAX_TERM_BUCKETS = 4096
@@ -37,14 +37,11 @@ DOCS_SCHEMA = ", ".join(
     [
         "doc_id long",
         *(f"`{c}` {_STORED_TYPES.get(c, 'string')}" for c in P.STORED_FIELDS),
-        *(f"tokens_{f} array<string>" for f in (*P.TEXT_FIELDS, "year")),
         *(f"len_{f} int" for f in (*P.TEXT_FIELDS, P.BODY)),
         "doc_bucket long",
     ]
 )
-POSTINGS_SCHEMA = (
-    "term string, doc_id long, tf int, dl int, positions array<int>, field string, term_bucket int"
-)
+POSTINGS_SCHEMA = P.BLOCKS_SCHEMA + ", term_bucket int"
 TERMS_SCHEMA = "term string, df long, max_tf int, min_dl int, field string, term_bucket int"
 POINTS_SCHEMA = "doc_id long, " + ", ".join(f"`{c}` {_STORED_TYPES[c]}" for c in P.NUMERIC_FIELDS)
 VERSIONS_SCHEMA = "version string, built_at long"
@@ -87,7 +84,8 @@ def write_index(analyzed: DataFrame, path: str, fuzzy_keys: bool = False) -> Non
     """
     spark, version = analyzed.sparkSession, f"version-{uuid.uuid4().hex}"
     index, path = path, f"{path}/{version}"
-    docs = write_in_order(analyzed, f"{path}/docs", ["doc_bucket"])
+    kept = analyzed.select([c for c in analyzed.columns if not c.startswith("tokens_")])
+    docs = write_in_order(kept, f"{path}/docs", ["doc_bucket"])
     docs.select("doc_id", *P.NUMERIC_FIELDS).write.parquet(f"{path}/points")
     stats = P.field_stats(docs).collect()
     n_docs = max((r["n_docs"] for r in stats), default=0)
@@ -95,14 +93,18 @@ def write_index(analyzed: DataFrame, path: str, fuzzy_keys: bool = False) -> Non
     buckets = min(MAX_TERM_BUCKETS, 1 + n_docs // DOCS_PER_TERM_BUCKET)
     bucket = P.term_bucket(F.col("term"), buckets)
     folders = ["field", "term_bucket"]
-    with partition_size(spark, n_tokens * BYTES_PER_TOKEN):
-        rows = P.posting_rows(docs).withColumn("term_bucket", bucket).hint("rebalance", "term_bucket")
-        written = write_in_order(P.by_field(rows.sortWithinPartitions("term", "doc_id")), f"{path}/postings", folders)
-    bits = P.range_bits_for(n_docs)
-    ranges = write_in_order(P.range_stats(written, bits, {r["field"]: r["avg_len"] for r in stats}), f"{path}/ranges", folders)
+    with partition_size(spark, n_tokens * BYTES_PER_TOKEN), heavy_splits(spark):
+        blocks = P.posting_blocks(docs).withColumn("term_bucket", bucket).hint("rebalance", "term_bucket")
+        blocks = write_in_order(blocks.sortWithinPartitions("term", "from_id"), f"{path}/postings", folders)
     write_sorted(
-        P.term_stats(ranges).withColumn("term_bucket", bucket), f"{path}/terms", folders, ["term"]
+        P.term_stats(P.block_counts(blocks)).withColumn("term_bucket", bucket), f"{path}/terms", folders, ["term"]
     )
+    bits = P.range_bits_for(n_docs)
+    # At most the postings of the corpus by the ids of a range, so few enough to broadcast.
+    common = spark.read.schema(TERMS_SCHEMA).parquet(f"{path}/terms").filter(F.col("df") > F.lit(1 << bits))
+    wanted = blocks.join(F.broadcast(common.select(*folders, "term")), [*folders, "term"], "left_semi")
+    ranges = P.range_stats(wanted, bits, {r["field"]: r["avg_len"] for r in stats})
+    write_in_order(ranges, f"{path}/ranges", folders)
     if fuzzy_keys:
         terms = spark.read.schema(TERMS_SCHEMA).parquet(f"{path}/terms")
         write_sorted(
@@ -133,7 +135,7 @@ def open_index(spark: SparkSession, path: str, **settings) -> LexicalIndex:
     return LexicalIndex(
         docs=spark.read.schema(DOCS_SCHEMA).parquet(f"{path}/docs"),
         points=spark.read.schema(POINTS_SCHEMA).parquet(f"{path}/points"),
-        postings=spark.read.schema(POSTINGS_SCHEMA).parquet(f"{path}/postings"),
+        postings=P.open_blocks(spark.read.schema(POSTINGS_SCHEMA).parquet(f"{path}/postings")),
         terms=spark.read.schema(TERMS_SCHEMA).parquet(f"{path}/terms"),
         ranges=spark.read.schema(RANGES_SCHEMA).parquet(f"{path}/ranges"),
         deletions=_optional(spark, DELETIONS_SCHEMA, f"{path}/deletions"),

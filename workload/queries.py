@@ -180,7 +180,7 @@ def q_id_patch(spark, sf_dir):
 
 
 def q_tokenize_counts(spark, sf_dir):
-    docs = lexical_index(spark, sf_dir).docs
+    docs = P.with_tokens(lexical_index(spark, sf_dir).docs)
     per_term = None
     for field in P.TEXT_FIELDS:
         words = docs.select(F.lit(field).alias("field"), F.explode(f"tokens_{field}").alias("term"))
