@@ -52,12 +52,17 @@ def four_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[tuple[np.
     of texts the place of every character's four-gram there and the texts' lengths."""
     found = [(*pairs_of(texts[i:j]), np.fromiter(map(len, texts[i:j]), np.int64, j - i)) for i, j in groups(texts)]
     every = np.unique(np.concatenate([p.dictionary.to_numpy() for p, _, _ in found])) if found else np.zeros(0, np.int64)
+    # Each form of a group's characters goes as the next one is made, so that a block is held once.
     coded = []
-    for pairs, ends, lengths in found:
+    while found:
+        pairs, ends, lengths = found.pop()
         at = np.searchsorted(every, pairs.dictionary.to_numpy())[pairs.indices.to_numpy()]
         coded.append((pa.array((at[:-2] << 32 | at[2:])[ends]).dictionary_encode(), lengths))
     grams = np.unique(np.concatenate([g.dictionary.to_numpy() for g, _ in coded])) if coded else np.zeros(0, np.int64)
-    places = [(np.searchsorted(grams, g.dictionary.to_numpy())[g.indices.to_numpy()], lengths) for g, lengths in coded]
+    places = []
+    while coded:  # from the end again: in the order of the texts
+        codes, lengths = coded.pop()
+        places.append((np.searchsorted(grams, codes.dictionary.to_numpy()).astype(np.int32)[codes.indices.to_numpy()], lengths))
     return every[grams >> 32], every[grams & 0xFFFFFFFF], places
 
 

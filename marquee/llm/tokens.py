@@ -7,7 +7,8 @@ space, and a text with a special token or unusual white space is handed over
 whole. So the ids are those of encoding the whole text, while frequent pieces
 are encoded once per Python worker.
 
-The cache is emptied when it is full; it never changes a result.
+The cache is emptied when it is full and when its worker goes on to other work;
+it never changes a result.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from marquee.llm.shipping import emptied_between
+
 # Without U+0130, whose lower case ends in a mark that is no letter.
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
 SIGNS = r"!-&(-/:-@\[-`{-~"
@@ -124,6 +127,12 @@ def encoder(path: str, spaces: bool) -> PieceEncoder:
     return _encoders[path, spaces]
 
 
+@emptied_between
+def empty_caches() -> None:
+    for each in _encoders.values():
+        each.cache = {}  # a cleared dictionary would keep its table
+
+
 def groups(texts: list[str], chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Bounds of consecutive texts of about ``chars`` characters together."""
     start = size = 0

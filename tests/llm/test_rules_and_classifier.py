@@ -199,3 +199,14 @@ def test_small_languages_have_quantiles_of_their_own(spark):
     got = {r["lang"]: r["threshold"] for r in kn.thresholds(spark.createDataFrame(rows, "lang string, perplexity double")).collect()}
     assert got["fr"] == pytest.approx(9 * kn.MARGIN) and got[""] == pytest.approx(3 * kn.MARGIN)
     assert got["en"] < 5.5 * kn.MARGIN and set(got) == {"en", "fr", "", None}
+
+
+def test_places_of_four_grams_take_four_bytes_a_character():
+    from marquee.llm import character_grams
+
+    texts = ["abcabc" * 200_000, "", "xyz" * 300_000, "abc"]  # several groups
+    a, b, places = character_grams.four_grams(texts)
+    assert sum(at.nbytes for at, _ in places) == 4 * sum(map(len, texts))
+    assert [n for _, lengths in places for n in lengths] == list(map(len, texts))
+    last = np.concatenate([b[at] & character_grams.MASK for at, _ in places]) - 2
+    assert "".join(map(chr, last)) == "".join(texts)

@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from marquee.llm import id_files, packing, prefix_bpe, tokens
@@ -159,3 +160,28 @@ def test_files_round_trip(docs, corpus, no_docs, spark, monkeypatch, tmp_path, f
 def test_extreme_ids(spark):
     rows = spark.createDataFrame([(-(2**63), "a"), (2**63 - 1, "b"), (0, "c")], "doc_id long, text string")
     assert [r["doc_id"] for r in id_files.round_trip(rows).orderBy("start").collect()] == [-(2**63), 0, 2**63 - 1]
+
+
+def test_a_worker_that_goes_on_to_other_work_empties_its_caches():
+    from marquee.llm import order_minhash, shipping
+
+    shipping.go_on_to("encoding")
+    encoder = tokens.encoder(tokens.tokenizer_path("byte_bpe_50k.json"), spaces=True)
+    before = encoder.encode(["some words, and more words"])
+    order_minhash.k_mers("some words and more words")
+    shipping.go_on_to("encoding")
+    assert encoder.cache and order_minhash._hashes
+    shipping.go_on_to("other work")
+    assert not encoder.cache and not order_minhash._hashes
+    assert encoder.encode(["some words, and more words"]) == before
+
+
+def test_map_batches_says_what_work_a_worker_does(spark):
+    from marquee.llm import shipping
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(shipping._work * batch.num_rows)], names=["work"])
+
+    found = {r["work"] for r in shipping.map_batches(spark.range(8), run, "work string").collect()}
+    assert len(found) == 1 and found.pop().endswith("run")
