@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions import scoring
@@ -51,16 +51,23 @@ def term_bucket_of(term: str, buckets: int) -> int:
     return zlib.crc32(term.encode()) % buckets
 
 
-def analyze(cleaned: DataFrame, id_column: str = "row_ord") -> DataFrame:
+def id_slice(doc_id: Column) -> Column:
+    return F.call_function("shiftright", doc_id.cast("long"), F.lit(SLICE_BITS))
+
+
+def slice_tasks(spark: SparkSession) -> int:
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def analyze(cleaned: DataFrame, id_column: str = "row_ord", dealt: bool = False) -> DataFrame:
     """Stored fields plus, per text field, its tokens and token count.
 
     Texts are tokenised after the rows were dealt to tasks by slices of
-    consecutive ids and sorted by id: tokens are never shuffled. ``all_fields`` is
+    consecutive ids, unless they are ``dealt`` so already, and sorted by id: tokens
+    are never shuffled. ``all_fields`` is
     the other fields joined by spaces, so its tokens are theirs put together and
     are not kept.
     """
-    spark = cleaned.sparkSession
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     lengths = {f"len_{f}": F.size(f"tokens_{f}") for f in TEXT_FIELDS}
     body_length = F.size("tokens_year")
     for f in TEXT_FIELDS:
@@ -70,10 +77,10 @@ def analyze(cleaned: DataFrame, id_column: str = "row_ord") -> DataFrame:
         cleaned.withColumn("doc_id", F.col(id_column).cast("long"))
         .withColumn("doc_bucket", doc_bucket(F.col("doc_id")))
         .select("doc_bucket", "doc_id", *STORED_FIELDS)
-        .repartition(tasks, F.call_function("shiftright", F.col("doc_id"), F.lit(SLICE_BITS)))
-        .sortWithinPartitions("doc_bucket", "doc_id")
     )
-    return with_tokens(rows).withColumns(lengths)
+    if not dealt:
+        rows = rows.repartition(slice_tasks(cleaned.sparkSession), id_slice(F.col("doc_id")))
+    return with_tokens(rows.sortWithinPartitions("doc_bucket", "doc_id")).withColumns(lengths)
 
 
 def with_tokens(docs: DataFrame) -> DataFrame:

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions.vectors import Encoder, HashedEncoder, embed
-from marquee.operators.cleaning import clean_catalog
-from marquee.operators.dedup import distinct_rows
-from marquee.operators.postings import analyze
+from marquee.operators.cleaning import clean_values
+from marquee.operators.dedup import distinct_rows, keep_first_dealt
+from marquee.operators.postings import analyze, id_slice, slice_tasks
 from marquee.operators.snippet import snippet
 from marquee.sources import dense_index
 from marquee.sources.catalog import read_catalog_csv, write_catalog
 from marquee.sources.index_tables import write_index
+from marquee.sources.storage import joins_where_dealt
 from marquee.sources.vectors import write_vectors
 
 KINDS = ("lexical", "dense")
@@ -36,8 +37,11 @@ def build_lexical(spark: SparkSession, source: str | DataFrame, out: str, strict
     becomes the document id. The count is taken on the way and is for display.
     """
     started, seen = time.time(), Observation("lexical build")
-    analyzed = analyze(clean_catalog(_raw(spark, source), strict))
-    write_index(analyzed.observe(seen, F.count(F.lit(1)).alias("docs")), f"{out}/lexical", fuzzy_keys)
+    # ``clean_catalog``, with the rows dealt into slices of ids before they are cleaned.
+    rows = keep_first_dealt(_raw(spark, source), ["movie_id"], "row_ord", id_slice(F.col("row_ord")), slice_tasks(spark))
+    analyzed = analyze(clean_values(rows, strict), dealt=True)
+    with joins_where_dealt(spark):
+        write_index(analyzed.observe(seen, F.count(F.lit(1)).alias("docs")), f"{out}/lexical", fuzzy_keys)
     return _report(seen, started)
 
 
