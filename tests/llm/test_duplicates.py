@@ -198,6 +198,14 @@ def test_long_texts_are_cut_into_chunks(spark, monkeypatch):
     assert got == brute_spans([t.encode() for t in texts], 400)
 
 
+def test_judged_rows_show_what_is_left(spark):
+    shared = "".join(random.Random(6).choice("abc ") for _ in range(500))
+    docs = spark.createDataFrame([(1, "é one " + shared + " end é"), (2, shared), (3, "alone"), (4, None)], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in rb.judged(docs, with_text=True).collect()}
+    assert [rows[i]["text"] for i in (1, 2, 3, 4)] == ["é one  end é", "", "alone", ""]
+    assert all(hashlib.sha256(r["text"].encode()).hexdigest() == r["kept_sha256"] for r in rows.values())
+
+
 def test_trimmed_rows_keep_columns(docs, corpus, no_docs):
     rows = rb.trimmed_rows(docs, 250)
     assert rows.columns == docs.columns and rows.count() == len(corpus)
