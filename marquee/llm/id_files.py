@@ -119,7 +119,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             part = batch.column(2)[0].as_py() if len(batch) else 0
-            for a, b in groups(texts):
+            for a, b in groups(texts, 4_000_000):
                 for doc_id, ids in zip(doc_ids[a:b], encode_texts(texts[a:b])):
                     held_docs.append(doc_id)
                     held.append(ids + end)

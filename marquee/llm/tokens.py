@@ -7,8 +7,13 @@ space, and a text with a special token or unusual white space is handed over
 whole. So the ids are those of encoding the whole text, while frequent pieces
 are encoded once per Python worker.
 
-The cache is emptied when it is full and when its worker goes on to other work;
-it never changes a result.
+Where a vocabulary drops white space, texts are first split there, and words that
+were seen before are found in a table (by Arrow) instead of being cut into pieces
+again. Plain pieces that differ in case only are encoded once if the tokenizer
+lower-cases.
+
+The caches are emptied when they are full and when their worker goes on to other
+work; they never change a result.
 """
 
 from __future__ import annotations
@@ -18,6 +23,8 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from marquee.llm.shipping import emptied_between
 
@@ -28,6 +35,8 @@ SPACE = r"\t-\r "
 UNUSUAL_ASCII = "\x1c\x1d\x1e\x1f"
 UNUSUAL = UNUSUAL_ASCII + "\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 MAX_PIECES = 1_000_000
+#: Every character of a plain piece.
+PLAIN = "".join(re.findall(f"[{LETTERS}0-9{SIGNS}]", "".join(map(chr, range(0x250)))))
 
 _encoders: dict[tuple[str, bool], PieceEncoder] = {}
 
@@ -71,21 +80,75 @@ class PieceEncoder:
         self.plain = None if spaces else re.compile(rf"[{LETTERS}]+|[0-9]|[{SIGNS}]+").fullmatch
         self.word_ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.word_ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        # Plain pieces in lower case, where the normalizer makes that of them and nothing else.
+        normalizer = self.tokenizer.normalizer
+        self.folds = normalizer is not None and normalizer.normalize_str(PLAIN) == PLAIN.lower()
+        self.folded = self.tokenizer
+        if self.folds:
+            self.folded = type(self.tokenizer)(self.tokenizer.model)
+            self.folded.pre_tokenizer = self.tokenizer.pre_tokenizer
         self.cache: dict[str, bytes] = {}
+        self.forget_words()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [None if unusual(t) or any(s in t for s in self.special) else self.pieces(t) for t in texts]
-        distinct = set().union(*filter(None, cut))
+        whole = [unusual(t) or any(s in t for s in self.special) for t in texts]
+        if self.plain:
+            encoded = self._words(["" if w else t for t, w in zip(texts, whole)])
+        else:
+            encoded = self._looked_up([[] if w else self.pieces(t) for t, w in zip(texts, whole)])
+        return [self._whole(t) if w else ids for t, w, ids in zip(texts, whole, encoded)]
+
+    def _looked_up(self, cut: list[list[str]]) -> list[bytes]:
+        """Ids of each list of pieces."""
+        distinct = set().union(*cut)
         missing = distinct.difference(self.cache)
         if len(self.cache) + len(missing) > MAX_PIECES:
             self.cache.clear()
             missing = distinct
         self._add(list(missing))
         found = self.cache.__getitem__
-        return [
-            self._whole(text) if pieces is None else b"".join(map(found, pieces)) for text, pieces in zip(texts, cut)
-        ]
+        return [b"".join(map(found, pieces)) for pieces in cut]
+
+    def _words(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, put together from those of its words."""
+        cut = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        numbered = cut.flatten().dictionary_encode()
+        distinct = numbered.dictionary
+        known = pc.index_in(distinct, value_set=self.words)
+        if len(self.words) + known.null_count > MAX_PIECES:
+            self.forget_words()
+            known = pc.index_in(distinct, value_set=self.words)
+        new, place = known.is_null(), known.fill_null(0).to_numpy().astype(np.int64)
+        place[new.to_numpy(zero_copy_only=False)] = np.arange(len(self.words), len(self.words) + known.null_count)
+        self._add_words(distinct.filter(new))
+        word = place[numbered.indices.to_numpy()]
+        ids = pa.LargeListArray.from_arrays(self.word_bounds, self.word_ids).take(pa.array(word))
+        found = ids.flatten().to_numpy()
+        bounds = ids.offsets.to_numpy()[cut.offsets.to_numpy()].tolist()
+        return [found[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+
+    def _add_words(self, new: pa.Array) -> None:
+        ids = self._looked_up(list(map(self._pieces_of_word, new.to_numpy(zero_copy_only=False).tolist())))
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        self.words = pa.concat_arrays([self.words, new])
+        self.word_bounds = np.concatenate((self.word_bounds, self.word_bounds[-1] + np.cumsum(lengths)))
+        self.word_ids = np.concatenate((self.word_ids, np.frombuffer(b"".join(ids), "<u4")))
+
+    def _pieces_of_word(self, word: str) -> list[str]:
+        if self.folds and word.isascii():  # without marks, which some letters take in one case only
+            word = word.lower()
+            if word.isalpha():
+                return [word]
+        return self.pieces(word)
+
+    def forget_words(self) -> None:
+        self.words = pa.array([], pa.large_string())
+        self.word_bounds, self.word_ids = np.zeros(1, np.int64), np.zeros(0, "<u4")
+
+    def forget(self) -> None:
+        self.cache = {}  # a cleared dictionary would keep its table
+        self.forget_words()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -93,7 +156,12 @@ class PieceEncoder:
     def _add(self, pieces: list[str]) -> None:
         if self.plain:
             plain = list(filter(self.plain, pieces))
-            self._add_joined(plain, " ")
+            if self.folds:
+                lower = [p.lower() for p in plain]
+                self._add_joined(list(set(lower).difference(self.cache)), " ")
+                self.cache.update((p, self.cache[x]) for p, x in zip(plain, lower))
+            else:
+                self._add_joined(plain, " ")
             pieces = [p for p in pieces if p not in self.cache]
         self._add_joined(pieces, self.separator)
 
@@ -101,7 +169,8 @@ class PieceEncoder:
         """Encodes pieces with something between them that keeps them apart: a
         special token, or a space where word ends tell them from each other."""
         parts = [pieces[i : i + at_once] for i in range(0, len(pieces), at_once)]
-        encoded = self.tokenizer.encode_batch_fast([between.join(p) for p in parts], add_special_tokens=False)
+        tokenizer = self.tokenizer if between == self.separator else self.folded
+        encoded = tokenizer.encode_batch_fast([between.join(p) for p in parts], add_special_tokens=False)
         for some, found in zip(parts, encoded):
             ids = np.array(found.ids, "<u4")
             if between == self.separator:
@@ -130,7 +199,7 @@ def encoder(path: str, spaces: bool) -> PieceEncoder:
 @emptied_between
 def empty_caches() -> None:
     for each in _encoders.values():
-        each.cache = {}  # a cleared dictionary would keep its table
+        each.forget()
 
 
 def groups(texts: list[str], chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
