@@ -35,8 +35,11 @@ SPACE = r"\t-\r "
 UNUSUAL_ASCII = "\x1c\x1d\x1e\x1f"
 UNUSUAL = UNUSUAL_ASCII + "\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 MAX_PIECES = 1_000_000
-#: Every character of a plain piece.
-PLAIN = "".join(re.findall(f"[{LETTERS}0-9{SIGNS}]", "".join(map(chr, range(0x250)))))
+MAX_WORDS = 2_000_000  # of a few dozen bytes each
+#: Characters that a text put into lower case may have besides white space. A mark would
+#: be another matter: some letters join with it in one case only.
+FOLDED = "".join(c for c in map(chr, (*range(0x130), *range(0x131, 0x250), *range(0x2010, 0x2028))) if not c.isspace())
+unfolded = re.compile(r"[^\x00-\u012f\u0131-\u024f\u2010-\u2027]").search
 
 _encoders: dict[tuple[str, bool], PieceEncoder] = {}
 
@@ -75,14 +78,14 @@ class PieceEncoder:
         self.separator, self.separator_id = next((t.content, i) for i, t in added.items() if t.special)
         run = rf"(?:[{LETTERS}]++|[0-9]{'++' if spaces else ''}|[{SIGNS}]++)(?=[{LETTERS}0-9{SIGNS}{SPACE}]|\Z)"
         blanks = rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]"
-        self.pieces = re.compile(f" ?{run}| ?[^{SPACE}]+{blanks}" if spaces else rf"{run}|[^{SPACE}]+").findall
+        self.pieces = re.compile(f" ?{run}| ?[^{SPACE}]+{blanks}" if spaces else rf"{run}|[^{SPACE}]+|\n").findall
         # Vocabularies with word ends say themselves where a plain piece ends.
         self.plain = None if spaces else re.compile(rf"[{LETTERS}]+|[0-9]|[{SIGNS}]+").fullmatch
         self.word_ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.word_ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
-        # Plain pieces in lower case, where the normalizer makes that of them and nothing else.
-        normalizer = self.tokenizer.normalizer
-        self.folds = normalizer is not None and normalizer.normalize_str(PLAIN) == PLAIN.lower()
+        # Texts and plain pieces in lower case, where the normalizer makes that of them and nothing else.
+        normalizer = None if spaces else self.tokenizer.normalizer
+        self.folds = normalizer is not None and normalizer.normalize_str(FOLDED) == FOLDED.lower()
         self.folded = self.tokenizer
         if self.folds:
             self.folded = type(self.tokenizer)(self.tokenizer.model)
@@ -92,21 +95,25 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        whole = [unusual(t) or any(s in t for s in self.special) for t in texts]
+        read = [t if unfolded(t) else t.lower() for t in texts] if self.folds else texts
+        whole = [unusual(t) or any(s in t for s in self.special) for t in read]
         if self.plain:
-            encoded = self._words(["" if w else t for t, w in zip(texts, whole)])
+            encoded = self._words(["" if w else t for t, w in zip(read, whole)])
         else:
-            encoded = self._looked_up([[] if w else self.pieces(t) for t, w in zip(texts, whole)])
+            encoded = self._looked_up([[] if w else self.pieces(t) for t, w in zip(read, whole)])
         return [self._whole(t) if w else ids for t, w, ids in zip(texts, whole, encoded)]
 
-    def _looked_up(self, cut: list[list[str]]) -> list[bytes]:
-        """Ids of each list of pieces."""
-        distinct = set().union(*cut)
+    def _know(self, distinct: set[str]) -> None:
+        """Sees to it that the cache has these pieces."""
         missing = distinct.difference(self.cache)
         if len(self.cache) + len(missing) > MAX_PIECES:
             self.cache.clear()
             missing = distinct
         self._add(list(missing))
+
+    def _looked_up(self, cut: list[list[str]]) -> list[bytes]:
+        """Ids of each list of pieces."""
+        self._know(set().union(*cut))
         found = self.cache.__getitem__
         return [b"".join(map(found, pieces)) for pieces in cut]
 
@@ -116,7 +123,7 @@ class PieceEncoder:
         numbered = cut.flatten().dictionary_encode()
         distinct = numbered.dictionary
         known = pc.index_in(distinct, value_set=self.words)
-        if len(self.words) + known.null_count > MAX_PIECES:
+        if len(self.words) + known.null_count > MAX_WORDS:
             self.forget_words()
             known = pc.index_in(distinct, value_set=self.words)
         new, place = known.is_null(), known.fill_null(0).to_numpy().astype(np.int64)
@@ -129,19 +136,16 @@ class PieceEncoder:
         return [found[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
 
     def _add_words(self, new: pa.Array) -> None:
-        ids = self._looked_up(list(map(self._pieces_of_word, new.to_numpy(zero_copy_only=False).tolist())))
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        """Cuts these words, one a line, and puts them into the table."""
+        pieces = self.pieces("".join([f"{word}\n" for word in new.to_numpy(zero_copy_only=False).tolist()]))
+        self._know({*pieces} - {"\n"})
+        self.cache["\n"] = b""
+        ids = list(map(self.cache.__getitem__, pieces))
+        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))[np.fromiter(map("\n".__eq__, pieces), bool, len(ids))]
         self.words = pa.concat_arrays([self.words, new])
-        self.word_bounds = np.concatenate((self.word_bounds, self.word_bounds[-1] + np.cumsum(lengths)))
+        self.word_bounds = np.concatenate((self.word_bounds, self.word_bounds[-1] + ends // 4))
         self.word_ids = np.concatenate((self.word_ids, np.frombuffer(b"".join(ids), "<u4")))
 
-    def _pieces_of_word(self, word: str) -> list[str]:
-        if self.folds and word.isascii():  # without marks, which some letters take in one case only
-            word = word.lower()
-            if word.isalpha():
-                return [word]
-        return self.pieces(word)
-
     def forget_words(self) -> None:
         self.words = pa.array([], pa.large_string())
         self.word_bounds, self.word_ids = np.zeros(1, np.int64), np.zeros(0, "<u4")
