@@ -17,7 +17,7 @@ from pyspark.sql.types import FloatType
 
 from marquee.functions.scoring import SCORE_DECIMALS
 from marquee.operators.topk import top_k_per_query
-from marquee.sources.storage import scratch_path, write_table
+from marquee.sources.storage import ROW_GROUP_BYTES, scratch_path
 
 # A side of at most this many vectors is sent to every task (about 12 MB of
 # doubles at 768 dimensions); a larger query side is worked off in such blocks.
@@ -31,6 +31,9 @@ _CHUNK = 4096
 TILE_BYTES = 16 << 20
 TILE_HITS = 1 << 21
 
+# Bytes of a packed block, at most: Parquet looks at its buffers every hundred rows.
+PACKED_BYTES = 256 << 10
+
 # Tasks for each core that ``blocked_top_k`` makes if there are enough blocks.
 TILES_PER_CORE = 4
 
@@ -150,8 +153,8 @@ def _arrays(batch: pa.RecordBatch) -> Block:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """The rows of a partition, up to ``most`` (and not more than a tile's bytes)
-    in a block; ``turn`` deals blocks evenly, wherever they lie."""
+    """The rows of a partition, up to ``most`` (and ``PACKED_BYTES``) in a block;
+    ``turn`` deals blocks evenly, wherever they lie."""
     turn = TaskContext.get().partitionId()
     kept: Block | None = None
 
@@ -165,7 +168,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
         if batch.num_rows:
             found = _arrays(batch)
             ids, vectors = found if kept is None else [np.concatenate(x) for x in zip(kept, found)]
-            size = max(1, min(most, TILE_BYTES // max(1, vectors[0].nbytes)))
+            size = max(1, min(most, PACKED_BYTES // max(1, vectors[0].nbytes)))
             whole = len(ids) // size * size
             for start in range(0, whole, size):
                 yield packed(ids[start : start + size], vectors[start : start + size])
@@ -178,7 +181,10 @@ def _packed(df: DataFrame, key: str, most: int, name: str) -> tuple[DataFrame, R
     """The rows as they lie, packed into blocks and written, with their sizes and type."""
     kind = "float" if isinstance(df.schema["embedding"].dataType.elementType, FloatType) else "double"
     rows = df.select(F.col(key).cast("long"), F.col("embedding").cast(f"array<{kind}>"))
-    blocks = write_table(rows.mapInArrow(partial(_blocks, most=most), _PACKED), scratch_path(df.sparkSession, name))
+    path = scratch_path(df.sparkSession, name)
+    packed = rows.mapInArrow(partial(_blocks, most=most), _PACKED)
+    packed.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    blocks = df.sparkSession.read.schema(packed.schema).parquet(path)
     sizes = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows", "bytes")]
     return blocks, blocks.agg(F.count(F.lit(1)).alias("blocks"), *sizes).first(), kind
 
@@ -281,8 +287,8 @@ def blocked_top_k(
     vectors of any size, without either side passing the driver.
 
     Both sides are packed as they lie into blocks of at most ``query_block`` queries
-    and batches of at most ``vector_batch`` vectors, a row each, and written (so that
-    they are counted and not computed again). Blocks and batches are dealt in turn
+    and batches of at most ``vector_batch`` vectors, a row of up to ``PACKED_BYTES``
+    each, and written (so that they are counted and not computed again). Blocks and batches are dealt in turn
     into tiles of up to ``TILE_BYTES``. Every block is sent once to each tile of
     vectors and every batch once to each tile of queries; Spark then cogroups them by
     pair of tiles, a partition for each, so that one task multiplies all blocks of a

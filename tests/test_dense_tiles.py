@@ -94,3 +94,11 @@ def test_best_of_many_equal_or_extreme_products(k):
         top = there[np.lexsort((ids[there], -products[i, there]))][:k]
         assert docs[rows == i].tolist() == ids[top].tolist()
         assert scores[rows == i].tolist() == products[i, top].tolist()
+
+
+def test_packed_rows_stay_small(spark):
+    """Blocks of many long vectors are cut by bytes, so that no row group holds hundreds of megabytes."""
+    rows = spark.range(3000, numPartitions=2).selectExpr("id as doc_id", "array_repeat(cast(id as float), 500) as embedding")
+    blocks, sizes, kind = dense._packed(rows, "doc_id", 2048, "packed")
+    assert (sizes.rows, sizes.bytes, kind) == (3000, 3000 * 2000, "float")
+    assert [r["rows"] for r in blocks.orderBy("rows").collect()][-1] == dense.PACKED_BYTES // 2000
